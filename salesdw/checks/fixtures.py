@@ -8,8 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesdw.operators.ordering import sorted_row_ids
+from salesdw.staging import Staging
+
 # Helper columns that give the source order; they are no data of the raw file.
 ORDER = ["src_order", "src_line", "src_part", "src_supp", "src_price"]
+# Rises with ORDER.
+ROW_ID = "src_id"
 
 RAW_COLUMNS = [
     "item_id",
@@ -89,17 +94,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_files: dict[tuple[str, str], DataFrame] = {}
+
+
 def messy_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw sales rows with planted dirt, plus the ORDER columns."""
-    return spark.sql(MESSY_SQL, **{name: read_table(spark, sf_dir, name) for name in SOURCES})
+    """The raw sales file: rows with planted dirt, plus the ORDER columns and a row id in that order.
+
+    Written once per session and data folder, as the engine starts from a file.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _files:
+        staging = Staging(spark)
+        sources = {name: read_table(spark, sf_dir, name) for name in SOURCES}
+        keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+        used = sources["lineitem"].select(*keys, "l_quantity", "l_discount", "l_returnflag")
+        sources["lineitem"] = staging.put(sorted_row_ids(used, keys, ROW_ID), "lines")
+        _files[key] = staging.put(spark.sql(MESSY_SQL.replace("SELECT", f"SELECT {ROW_ID},", 1), **sources), "raw")
+    return _files[key]
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``messy_sales`` with copies of some rows and ten rows of nulls (in the data columns)."""
+    """The raw columns and the row id, with copies of some rows and ten rows of nulls."""
     messy = messy_sales(spark, sf_dir)
     copies = messy.filter("src_order % 101 = 0")
     empty = spark.range(10).join(messy.limit(0), F.lit(False), "left").select(*messy.columns)
-    return messy.unionByName(copies).unionByName(empty)
+    return messy.unionByName(copies).unionByName(empty).select(*RAW_COLUMNS, ROW_ID)
 
 
 def duckdb_messy_sql() -> str:

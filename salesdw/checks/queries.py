@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesdw import functions as X
-from salesdw.checks.fixtures import ORDER, RAW_COLUMNS, messy_sales, raw_sales, read_table
+from salesdw.checks.fixtures import ORDER, RAW_COLUMNS, ROW_ID, messy_sales, raw_sales, read_table
 from salesdw.operators import aggregates, joins, ordering, rows
 from salesdw.plans import clean, dimension, fact, quality, window_state
 from salesdw.plans.warehouse import SalesWarehouse
@@ -59,7 +59,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _cleaned:
         staging = Staging(spark)
-        result = clean.clean_sales(raw_sales(spark, sf_dir), staging, order_by=ORDER, keep_row_id=True)
+        result = clean.clean_sales(raw_sales(spark, sf_dir), staging, row_id=ROW_ID, keep_row_id=True)
         _cleaned[key] = staging.put(tables.sort_for_write(result, "created_at", clean.ROW_ID), "cleaned")
     return _cleaned[key]
 
@@ -68,11 +68,6 @@ def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messy_sales(spark, sf_dir).withColumnsRenamed(RENAMES)
 
 
-def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Renamed messy rows with a row id in source order, fixed by staging."""
-    return Staging(spark).put(ordering.sorted_row_ids(renamed(spark, sf_dir), ORDER, "row_id"), "numbered")
-
-
 def warehouse(spark: SparkSession, policy: LoadPolicy) -> SalesWarehouse:
     """An empty warehouse of its own in the shared folder."""
     staging = Staging(spark)
@@ -131,7 +126,7 @@ def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning load: clean, sort by date, write, read back."""
     name = scratch_table(spark, "sales_cleaned")
-    clean.load_cleaned(raw_sales(spark, sf_dir), name, order_by=ORDER)
+    clean.load_cleaned(raw_sales(spark, sf_dir), name, row_id=ROW_ID)
     return tables.scan_table(spark, name)
 
 
@@ -166,7 +161,7 @@ def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messy_sales(spark, sf_dir).drop(*UNUSED_COLUMNS).withColumnsRenamed(RENAMES)
+    return messy_sales(spark, sf_dir).drop(ROW_ID, *UNUSED_COLUMNS).withColumnsRenamed(RENAMES)
 
 
 def rename_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,12 +297,12 @@ def mode_fill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.first_per_group(numbered(spark, sf_dir), "sku", "category", "row_id", "first_category")
+    return aggregates.first_per_group(renamed(spark, sf_dir), "sku", "category", ROW_ID, "first_category")
 
 
 def category_fill_by_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = numbered(spark, sf_dir)
-    firsts = aggregates.first_per_group(source, "sku", "category", "row_id", "first_category")
+    source = renamed(spark, sf_dir)
+    firsts = aggregates.first_per_group(source, "sku", "category", ROW_ID, "first_category")
     filled = joins.fill_from_group(source, "category", "sku", firsts, "first_category")
     return filled.select(*PLACE, "sku", "category")
 
@@ -349,8 +344,8 @@ def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forward_fill_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = numbered(spark, sf_dir).withColumn("created_at", X.parse_date(F.col("created_at")))
-    return ordering.forward_fill(source, "created_at", "row_id").select(*ORDER, "created_at")
+    source = renamed(spark, sf_dir).withColumn("created_at", X.parse_date(F.col("created_at")))
+    return ordering.forward_fill(source, "created_at", ROW_ID).select(*ORDER, "created_at")
 
 
 def dense_rank_item(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,17 +464,17 @@ def incremental_run(runs: int) -> Query:
 
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), order_by=ORDER)
+    return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), row_id=ROW_ID)
 
 
 def clean_sales_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), clean.EXPLORATION, order_by=ORDER)
+    return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), clean.EXPLORATION, row_id=ROW_ID)
 
 
 def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: clean, stage a year, load date and status dimensions, look up, total by month and status."""
     staging = Staging(spark)
-    cleaned = staging.put(clean.clean_sales(raw_sales(spark, sf_dir), staging, order_by=ORDER), "cleaned")
+    cleaned = staging.put(clean.clean_sales(raw_sales(spark, sf_dir), staging, row_id=ROW_ID), "cleaned")
     staged = window_state.rows_in_window(cleaned, YEARLY.first_start, YEARLY.first_end)
     facts = staged
     built = {}

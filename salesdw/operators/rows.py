@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdw.functions import lenient_int
+from salesdw.operators.joins import fits_broadcast
+from salesdw.staging import Staging
 
 
 def drop_empty_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -25,6 +27,24 @@ def drop_duplicate_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     return df.groupBy(*data).agg(F.min(row_id).alias(row_id))
 
 
+def mark_copies(df: DataFrame, row_id: str, name: str, staging: Staging) -> DataFrame | None:
+    """Add the boolean ``name``: may the row be equal to another one in all columns but ``row_id``?
+
+    Only row hashes are shuffled. All copies are marked (and, rarely, a row whose hash another row
+    shares), so the marked rows need an exact comparison and the others none. Returns None where the
+    repeated hashes are too many to broadcast.
+    """
+    data = [column for column in df.columns if column != row_id]
+    row_hash = F.xxhash64(*[F.col(f"`{column}`") for column in data])
+    counts = df.select(row_hash.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = staging.put(counts.filter("_copies > 1").select("_hash"), "repeated-hashes")
+    if not fits_broadcast(repeated):
+        return None
+    known = F.broadcast(repeated.withColumn(name, F.lit(True)))
+    marked = df.withColumn("_hash", row_hash).join(known, "_hash", "left").drop("_hash")
+    return marked.withColumn(name, F.coalesce(name, F.lit(False)))
+
+
 def keep_castable(df: DataFrame, column: str) -> DataFrame:
     return df.filter(lenient_int(F.col(column)).isNotNull())
 

@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 
 from salesdw import functions as X
 from salesdw.operators.aggregates import mode_value
-from salesdw.operators.joins import broadcast_if_small
-from salesdw.operators.ordering import forward_fill, number_rows, scan_row_ids, sorted_row_ids
-from salesdw.operators.rows import drop_duplicate_rows, drop_empty_rows, keep_castable
+from salesdw.operators.joins import fits_broadcast
+from salesdw.operators.ordering import forward_fill, number_rows, scan_row_ids
+from salesdw.operators.rows import drop_duplicate_rows, drop_empty_rows, mark_copies
 from salesdw.schema import CLEANED_COLUMNS, NOT_AVAILABLE, RENAMES, TEST_SKUS, UNUSED_COLUMNS
 from salesdw.sources.tables import overwrite_table, sort_for_write
 from salesdw.staging import Staging
 
 ROW_ID = "_row_id"
+# Whether the raw item id is a number; only then is the row of use.
+USABLE = "_usable"
 
 
 @dataclass(frozen=True)
@@ -54,23 +56,29 @@ EXPLORATION = CleaningRules(
 )
 
 
-def source_rows(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """Distinct non-empty raw rows, wanted columns only, numbered in source order and date-parsed.
+def source_rows(raw: DataFrame, staging: Staging, row_id: str | None = None) -> DataFrame:
+    """Distinct non-empty raw rows, wanted columns only, numbered in source order, staged.
 
-    ``order_by`` names helper columns that give the source order; without it the scan order counts.
+    ``row_id`` names a BIGINT column that gives the source order; without it the scan order counts.
+    Of equal rows the first is kept. Full rows are shuffled only where they may have a copy.
     """
-    helpers = order_by or []
-    data = [name for name in raw.columns if name not in helpers]
-    rows = scan_row_ids(raw, ROW_ID) if order_by is None else sorted_row_ids(raw, order_by, ROW_ID)
-    rows = drop_empty_rows(rows.drop(*helpers), data)
-    rows = drop_duplicate_rows(rows, ROW_ID).drop(*UNUSED_COLUMNS).withColumnsRenamed(RENAMES)
-    return rows.withColumn("created_at", X.parse_date(F.col("created_at").cast("string")))
+    data = [name for name in raw.columns if name != row_id]
+    rows = scan_row_ids(raw, ROW_ID) if row_id is None else raw.withColumnRenamed(row_id, ROW_ID)
+    rows = drop_empty_rows(rows, data)
+    marked = mark_copies(rows, ROW_ID, "_copied", staging)
+    if marked is None:
+        return _tidy(staging.put(_prepared(drop_duplicate_rows(rows, ROW_ID)), "source-rows"))
+    marked = staging.put(_prepared(marked), "marked-rows")
+    distinct = drop_duplicate_rows(marked.filter("_copied").select(*data, ROW_ID), ROW_ID)
+    distinct = _prepared(distinct.withColumn("_copied", F.lit(False))).select(*marked.columns)
+    return _tidy(staging.put_beside(distinct, "distinct-copies", "marked-rows").filter("NOT _copied"))
 
 
 def product_map(rows: DataFrame, staging: Staging, rules: CleaningRules = FINAL) -> DataFrame:
     """One row per distinct raw (sku, category): the filled category and, if wanted, the item number.
 
-    A pair gets an item number when at least one of its rows is kept (see ``kept_rows``).
+    A pair gets an item number when at least one of its rows is kept (see ``kept_rows``). The result is
+    marked for broadcast when its measured size allows.
     """
     pairs = (
         rows.withColumn("_kept", F.col("customer_id").isNotNull() & _is_wanted_sku(rules))
@@ -90,11 +98,12 @@ def product_map(rows: DataFrame, staging: Staging, rules: CleaningRules = FINAL)
         "_kept",
     )
     named = staging.put(named, "product-map")
+    mark = F.broadcast if fits_broadcast(named) else (lambda df: df)
     if not rules.number_items:
-        return named.drop("_kept")
+        return mark(named.drop("_kept"))
     items = named.filter("_kept").select("_sku", "_category").distinct()
     numbered = number_rows(items, ["_sku", "_category"], "item_id_new", staging)
-    return staging.put(named.filter("_kept").drop("_kept").join(numbered, ["_sku", "_category"]), "numbered-map")
+    return mark(named.filter("_kept").drop("_kept").join(numbered, ["_sku", "_category"]))
 
 
 def kept_rows(rows: DataFrame, rules: CleaningRules = FINAL) -> DataFrame:
@@ -106,18 +115,18 @@ def clean_sales(
     raw: DataFrame,
     staging: Staging,
     rules: CleaningRules = FINAL,
-    order_by: list[str] | None = None,
+    row_id: str | None = None,
     keep_row_id: bool = False,
 ) -> DataFrame:
     """Clean the raw sales rows. With ``keep_row_id`` the unique source row id is kept as well."""
-    every_row = staging.put(source_rows(raw, order_by), "source-rows")
-    usable = keep_castable(every_row, "item_id")
+    every_row = source_rows(raw, staging, row_id)
+    usable = every_row.filter(USABLE)
 
     renamed = usable.withColumn("status", X.normalise_status(F.col("status")))
     mode = mode_value(renamed if rules.mode_after_rename else usable, "status").select("status").scalar()
     status = F.regexp_replace(X.normalise_status(F.col("status")), F.lit(X.columns.MISSING_PATTERN), mode)
 
-    products = broadcast_if_small(product_map(usable, staging, rules))
+    products = product_map(usable, staging, rules)
     rows = forward_fill(kept_rows(usable, rules), "created_at", ROW_ID, history=every_row)
     pair = F.col("sku").eqNullSafe(F.col("_raw_sku")) & F.col("category").eqNullSafe(F.col("_raw_category"))
 
@@ -156,14 +165,24 @@ def load_cleaned(
     raw: DataFrame,
     table: str,
     rules: CleaningRules = FINAL,
-    order_by: list[str] | None = None,
+    row_id: str | None = None,
 ) -> None:
     """Clean and write the cleaned table, sorted by date for the incremental reads."""
     with Staging(raw.sparkSession) as staging:
-        cleaned = clean_sales(raw, staging, rules, order_by, keep_row_id=True)
+        cleaned = clean_sales(raw, staging, rules, row_id, keep_row_id=True)
         overwrite_table(sort_for_write(cleaned, "created_at", ROW_ID), table)
 
 
+def _prepared(rows: DataFrame) -> DataFrame:
+    date = X.parse_date(F.col("created_at").cast("string"))
+    return rows.withColumns({"_date": date, USABLE: X.lenient_int(F.col("item_id")).isNotNull()})
+
+
+def _tidy(rows: DataFrame) -> DataFrame:
+    rows = rows.drop(*UNUSED_COLUMNS, "_copied").withColumnsRenamed(RENAMES)
+    return rows.withColumn("created_at", F.col("_date")).drop("_date")
+
+
 def _is_wanted_sku(rules: CleaningRules):
     if not rules.drop_test_skus:
         return F.lit(True)

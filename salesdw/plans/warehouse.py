@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -131,9 +132,9 @@ class SalesWarehouse:
         The window moves last: a batch that fails is read again and replaces what it has written.
         """
         batch, start, end = self.stage(cleaned)
-        with Staging(self.spark) as staging:
-            for spec in DIMENSIONS:
-                self.load_dimension(spec, staging)
+        # The dimensions do not depend on each other: their (small) jobs share the cluster.
+        with Staging(self.spark) as staging, ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(lambda spec: self.load_dimension(spec, staging), DIMENSIONS))
         rejected = self.load_facts(batch)
         self.advance()
         return BatchResult(batch, start, end, rejected)

@@ -7,6 +7,7 @@ that depend on physical order (row ids) are fixed from then on.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -34,15 +35,22 @@ class Staging:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or shared_dir(spark)}/salesdw-{uuid.uuid4().hex}"
-        self._count = 0
+        self._numbers = itertools.count(1)
+        self._paths: dict[str, str] = {}
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` once and return a reader of the written table."""
-        self._count += 1
-        path = f"{self.path}/{self._count:03d}-{label}"
+        path = f"{self.path}/{next(self._numbers):03d}-{label}"
+        self._paths[label] = path
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put_beside(self, df: DataFrame, label: str, other: str) -> DataFrame:
+        """Write ``df`` as well and return one reader of both it and the last table named ``other``."""
+        together = self._paths[other]
+        own = self.put(df, label)
+        return self.spark.read.schema(own.schema).parquet(together, self._paths[label])
+
     def release(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
