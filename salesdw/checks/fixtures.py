@@ -117,7 +117,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw columns and the row id, with copies of some rows and ten rows of nulls."""
     messy = messy_sales(spark, sf_dir)
     copies = messy.filter("src_order % 101 = 0")
-    empty = spark.range(10).join(messy.limit(0), F.lit(False), "left").select(*messy.columns)
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in messy.schema]
+    empty = spark.range(10).select(*nulls)
     return messy.unionByName(copies).unionByName(empty).select(*RAW_COLUMNS, ROW_ID)
 
 
