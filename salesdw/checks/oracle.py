@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from salesdw.checks.fixtures import ORDER, RAW_COLUMNS, duckdb_messy_sql, duckdb_raw_sql
 from salesdw.checks.queries import BATCHES, INSPECTED, PLACE, YEARLY
 from salesdw.schema import CLEANED_COLUMNS, DIMENSIONS, RENAMES, TABLES, UNUSED_COLUMNS, WINDOW_TABLE, Dimension
@@ -159,12 +161,23 @@ def _lookup_sql(spec: Dimension) -> str:
     )
 
 
-def _fact_ctes(batch: str, typed: bool) -> str:
+def _batch_members(spec: Dimension, batch: str) -> str:
+    """CTE: the distinct members of each batch, numbered from 1 in each."""
+    order = ", ".join(f"{name} NULLS FIRST" for name in [spec.key, *spec.attributes])
+    return f""",
+{spec.table} AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY batch ORDER BY {order}) AS INTEGER) AS {spec.surrogate}
+  FROM (SELECT DISTINCT {_source(spec)}, {batch} AS batch FROM cleaned)
+)"""
+
+
+def _fact_ctes(batch: str, typed: bool, rekey: bool = False) -> str:
     """CTEs that end in ``fact``; column ``batch`` numbers the windows from 0."""
-    dims = "".join(_stable(spec, batch, spec.table) for spec in DIMENSIONS)
+    build = _batch_members if rekey else lambda spec, batch: _stable(spec, batch, spec.table)
+    dims = "".join(build(spec, batch) for spec in DIMENSIONS)
+    on = "c.batch = {0}.batch AND c.{1} = {0}.{2}" if rekey else "c.{1} IS NOT DISTINCT FROM {0}.{2}"
     joins = "\n".join(
-        f"  LEFT JOIN {spec.table} ON c.{spec.source_key} IS NOT DISTINCT FROM {spec.table}.{spec.key}"
-        for spec in DIMENSIONS
+        f"  LEFT JOIN {spec.table} ON " + on.format(spec.table, spec.source_key, spec.key) for spec in DIMENSIONS
     )
     money = "CAST(c.{0} AS DECIMAL(10,2)) AS {0}" if typed else "c.{0}"
     measures = [money.format(name) for name in ("price", "grand_total", "discount_amount", "mv")]
@@ -187,18 +200,16 @@ _WHOLE = _batch([(BATCHES[0][0], BATCHES[-1][1])])
 def _run_windows(runs: int) -> list[tuple]:
     """The windows of the first yearly runs: the two fixed ones, then on from the day after."""
     windows = [(YEARLY.first_start, YEARLY.first_end), (YEARLY.second_start, YEARLY.second_end)]
-    from datetime import timedelta
-
     while len(windows) < runs:
         end = windows[-1][1]
         windows.append((end + timedelta(days=1), end + timedelta(days=YEARLY.step_days)))
     return windows[:runs]
 
 
-def _incremental(runs: int) -> str:
+def _incremental(runs: int, rekey: bool = False) -> str:
     return _cleaned(
         f"SELECT {_FACT_COLUMNS}, CAST(batch AS BIGINT) AS batch_id FROM fact",
-        _fact_ctes(_batch(_run_windows(runs)), typed=True),
+        _fact_ctes(_batch(_run_windows(runs)), typed=True, rekey=rekey),
     )
 
 
@@ -395,4 +406,5 @@ def all_sql() -> dict[str, str]:
             sql[f"scd1_{spec.name}_rekey"] = _cleaned(f"SELECT {fields} FROM dim", _rekeyed(spec))
     for runs in (1, 2, 3):
         sql[f"incremental_run_{runs}"] = _incremental(runs)
+    sql["incremental_run_2_rekey"] = _incremental(2, rekey=True)
     return sql

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from salesdw.schema import (
     Dimension,
 )
 from salesdw.sources import files, tables
-from salesdw.staging import Staging
+from salesdw.staging import Staging, side_by_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,7 @@ YEARLY = LoadPolicy(
     second_start=date(1996, 1, 1),
     second_end=date(1996, 12, 31),
 )
+YEARLY_REKEYED = replace(YEARLY, rekey=True)
 WHOLE = LoadPolicy(first_start=date(1995, 1, 1), first_end=date(2001, 12, 31))
 BATCHES = (
     (date(1995, 1, 1), date(1996, 12, 31)),
@@ -432,8 +434,10 @@ def lookup(spec: Dimension) -> Query:
 
 def view_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
-    built = {spec.table: _one_batch(spark, sf_dir, spec, staging) for spec in DIMENSIONS}
-    return fact.fact_view(cleaned_sales(spark, sf_dir), built.__getitem__)
+    cleaned = cleaned_sales(spark, sf_dir)
+    built = side_by_side(lambda spec: _one_batch(spark, sf_dir, spec, staging), DIMENSIONS)
+    tables_by_name = {spec.table: table for spec, table in zip(DIMENSIONS, built)}
+    return fact.fact_view(cleaned, tables_by_name.__getitem__)
 
 
 def fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,11 +452,11 @@ def report_fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.facts_by_date()
 
 
-def incremental_run(runs: int) -> Query:
+def incremental_run(runs: int, policy: LoadPolicy = YEARLY) -> Query:
     """The fact table after some yearly batches."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        house = warehouse(spark, YEARLY)
+        house = warehouse(spark, policy)
         for _ in range(runs):
             house.run_batch(cleaned_sales(spark, sf_dir))
         return house.table(FACT_TABLE)
@@ -565,4 +569,5 @@ def all_queries() -> dict[str, Query]:
         named[f"scd1_{spec.name}_rekey"] = scd1(spec, rekey=True)
     for runs in (1, 2, 3):
         named[f"incremental_run_{runs}"] = incremental_run(runs)
+    named["incremental_run_2_rekey"] = incremental_run(2, YEARLY_REKEYED)
     return named

@@ -50,10 +50,10 @@ def lookup(
 
 
 def fill_from_group(df: DataFrame, column: str, key: str, values: DataFrame, value: str) -> DataFrame:
-    """Fill nulls of ``column`` from ``values`` (unique on ``key``). Rows without a gap are not joined."""
-    gap = F.col(column).isNull()
-    filled = df.filter(gap).join(values, key, "left").withColumn(column, F.col(value))
-    return df.filter(~gap).unionByName(filled.select(*df.columns))
+    """Fill nulls of ``column`` from ``values`` (unique on ``key``). Only rows with a gap and a key are joined."""
+    fillable = F.col(column).isNull() & F.col(key).isNotNull()
+    filled = df.filter(fillable).join(values, key, "left").withColumn(column, F.col(value))
+    return df.filter(~fillable).unionByName(filled.select(*df.columns))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, null_safe: bool = False) -> DataFrame:

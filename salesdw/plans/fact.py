@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesdw.operators.joins import lookup
+from salesdw.operators.joins import broadcast_if_small, lookup
 from salesdw.schema import DIMENSIONS, FACT_TABLE, TABLES
 
 MEASURES = ("price", "qty_ordered", "grand_total", "discount_amount", "mv")
@@ -31,18 +31,19 @@ def fact_rows(view: DataFrame, rejects: Observation | None = None) -> DataFrame:
     ``rejects`` counts such values per column while the rows are written, without another pass.
     """
     fields = TABLES[FACT_TABLE].fields
-    rows = view.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in fields])
-    if rejects is None:
-        return rows
-    lost = [
-        F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(TABLES[FACT_TABLE][name].dataType).isNull()).alias(name)
-        for name in MEASURES
-    ]
-    watched = view.observe(rejects, *lost)
-    return watched.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in fields])
+    fitted = {field.name: F.col(field.name).try_cast(field.dataType) for field in fields}
+    if rejects is not None:
+        lost = {name: F.col(name).isNotNull() & fitted[name].isNull() for name in MEASURES}
+        view = view.observe(rejects, *[F.count_if(is_lost).alias(name) for name, is_lost in lost.items()])
+    return view.select(*[value.alias(name) for name, value in fitted.items()])
 
 
 def facts_by_date(facts: DataFrame, dates: DataFrame) -> DataFrame:
-    """Facts with their date row, newest first."""
-    joined = facts.join(dates.withColumnRenamed("DimDateKey", "_date_key"), F.col("DimDateKey") == F.col("_date_key"), "left")
-    return joined.drop("_date_key").orderBy(F.desc("created_at"))
+    """Facts with their date row, newest first.
+
+    The row id only breaks ties, so that the sort can split a date that holds many of the rows.
+    """
+    dates = broadcast_if_small(dates.withColumnRenamed("DimDateKey", "_date_key"))
+    joined = facts.join(dates, F.col("DimDateKey") == F.col("_date_key"), "left").drop("_date_key")
+    spread = joined.withColumn("_row", F.monotonically_increasing_id())
+    return spread.orderBy(F.desc("created_at"), "_row").drop("_row")

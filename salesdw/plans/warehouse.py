@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -15,13 +14,14 @@ from salesdw.schema import (
     BATCH_COLUMN,
     DIMENSIONS,
     FACT_TABLE,
+    FACT_VIEW,
     STAGE_TABLE,
     TABLES,
     WINDOW_TABLE,
     Dimension,
 )
 from salesdw.sources.tables import overwrite_table
-from salesdw.staging import Staging
+from salesdw.staging import Staging, side_by_side
 
 
 @dataclass(frozen=True)
@@ -132,15 +132,18 @@ class SalesWarehouse:
         The window moves last: a batch that fails is read again and replaces what it has written.
         """
         batch, start, end = self.stage(cleaned)
-        # The dimensions do not depend on each other: their (small) jobs share the cluster.
-        with Staging(self.spark) as staging, ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            list(pool.map(lambda spec: self.load_dimension(spec, staging), DIMENSIONS))
+        with Staging(self.spark) as staging:
+            side_by_side(lambda spec: self.load_dimension(spec, staging), DIMENSIONS)
         rejected = self.load_facts(batch)
         self.advance()
         return BatchResult(batch, start, end, rejected)
 
-    def dimension_view(self, spec: Dimension, staging: Staging) -> DataFrame:
-        return dimension_view(self.table(STAGE_TABLE), spec, staging)
+    def create_views(self, staging: Staging) -> None:
+        """Register the numbered members and the fact rows of the staged batch as temporary views."""
+        for spec in DIMENSIONS:
+            view = dimension_view(self.table(STAGE_TABLE), spec, staging)
+            view.createOrReplaceTempView(spec.view)
+        self.fact_view().createOrReplaceTempView(FACT_VIEW)
 
     def facts_by_date(self) -> DataFrame:
         return facts_by_date(self.table(FACT_TABLE).drop(BATCH_COLUMN), self.table("dimdate"))

@@ -62,18 +62,19 @@ class Dimension:
     key: str
     attributes: tuple[str, ...]
     surrogate: str
+    view: str
 
     @property
     def columns(self) -> list[str]:
         return [self.key, *self.attributes, self.surrogate]
 
 
-PRODUCT = Dimension("product", "dimproducts", "item_id_new", "item_id", ("sku", "category"), "DimProductKey")
-DATE = Dimension("date", "dimdate", "created_at", "created_at", ("year", "month", "fy"), "DimDateKey")
-STATUS = Dimension("status", "dimstatus", "status", "status", (), "DimStatusKey")
-PAYMENT = Dimension("payment", "dimpaymentmethod", "payment_method", "payment_method", (), "DimMethodKey")
-BI_STATUS = Dimension("bi_status", "dimbistatus", "bi_status", "bi_status", (), "DimBiStatusKey")
-CUSTOMER = Dimension("customer", "dimcustomer", "customer_id", "customer_id", ("customer_since",), "DimCustomerKey")
+PRODUCT = Dimension("product", "dimproducts", "item_id_new", "item_id", ("sku", "category"), "DimProductKey", "view_dimproducts")
+DATE = Dimension("date", "dimdate", "created_at", "created_at", ("year", "month", "fy"), "DimDateKey", "view_dimdates")
+STATUS = Dimension("status", "dimstatus", "status", "status", (), "DimStatusKey", "view_dimstatus")
+PAYMENT = Dimension("payment", "dimpaymentmethod", "payment_method", "payment_method", (), "DimMethodKey", "view_dimpaymentmethod")
+BI_STATUS = Dimension("bi_status", "dimbistatus", "bi_status", "bi_status", (), "DimBiStatusKey", "view_dimbistatus")
+CUSTOMER = Dimension("customer", "dimcustomer", "customer_id", "customer_id", ("customer_since",), "DimCustomerKey", "view_dimcustomer")
 
 # In load order.
 DIMENSIONS = (PRODUCT, DATE, STATUS, PAYMENT, BI_STATUS, CUSTOMER)
@@ -81,6 +82,7 @@ DIMENSIONS = (PRODUCT, DATE, STATUS, PAYMENT, BI_STATUS, CUSTOMER)
 WINDOW_TABLE = "incremental_value_storage"
 STAGE_TABLE = "stagging_table"
 FACT_TABLE = "factsalestable"
+FACT_VIEW = "view_fact_table"
 BATCH_COLUMN = "batch_id"
 
 MONEY = T.DecimalType(10, 2)

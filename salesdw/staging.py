@@ -11,8 +11,15 @@ import itertools
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -60,3 +67,10 @@ class Staging:
 
     def __exit__(self, *failure) -> None:
         self.release()
+
+
+def side_by_side(work: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """Start the Spark jobs of a few independent pieces of work together, so that they share the cluster."""
+    pieces = list(items)
+    with ThreadPoolExecutor(len(pieces)) as pool:
+        return list(pool.map(work, pieces))

@@ -149,3 +149,19 @@ def test_status_keys_survive_in_facts(spark, house):
     totals = house.table(FACT_TABLE).join(house.table(STATUS.table), "DimStatusKey").groupBy("status").count()
     expected = rows_in_window(cleaned, date(1995, 1, 1), date(1996, 12, 31)).groupBy("status").count()
     assert rows_of(totals) == rows_of(expected)
+
+
+def test_views(spark, house, staging):
+    cleaned = cleaned_sales(spark, SMALL)
+    house.run_batch(cleaned)
+    house.create_views(staging)
+    for spec in DIMENSIONS:
+        assert spark.table(spec.view).columns == spec.columns
+    assert rows_of(spark.table("view_dimstatus")) == rows_of(house.table(STATUS.table))
+    assert spark.table("view_fact_table").count() == house.table(FACT_TABLE).count()
+
+
+def test_report_is_newest_first(spark, house):
+    house.run_batch(cleaned_sales(spark, SMALL))
+    dates = [row["created_at"] for row in house.facts_by_date().select("created_at").collect()]
+    assert dates == sorted(dates, reverse=True) and len(dates) == house.table(FACT_TABLE).count()
