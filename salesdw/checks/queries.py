@@ -427,7 +427,7 @@ def lookup(spec: Dimension) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = _one_batch(spark, sf_dir, spec, Staging(spark))
         sales = cleaned_sales(spark, sf_dir).select("price", "mv", spec.source_key)
-        return joins.lookup(sales, built, spec.source_key, spec.key, spec.surrogate)
+        return joins.lookup(sales, joins.lookup_keys(built, spec.key, spec.surrogate), spec.source_key)
 
     return query
 
@@ -487,7 +487,7 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         built[spec] = staging.put(
             dimension.upsert_stable(_empty(spark, spec), members, spec, staging), spec.table
         )
-        facts = joins.lookup(facts, built[spec], spec.source_key, spec.key, spec.surrogate)
+        facts = joins.lookup(facts, joins.lookup_keys(built[spec], spec.key, spec.surrogate), spec.source_key)
     dates = built[DATE].select("DimDateKey", F.trunc("created_at", "month").alias("sales_month"))
     totals = facts.groupBy("DimDateKey", "DimStatusKey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("qty_ordered").alias("q"), F.sum("grand_total").alias("t")

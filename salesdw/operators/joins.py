@@ -34,18 +34,13 @@ def key_match(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
 
-def lookup(
-    rows: DataFrame,
-    dimension: DataFrame,
-    row_key: str,
-    dimension_key: str,
-    surrogate: str,
-    null_safe: bool = True,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Left join that adds ``surrogate`` to ``rows``. Only the two key columns of the dimension travel."""
-    keys = dimension.select(F.col(dimension_key).alias("_key"), F.col(surrogate))
-    keys = broadcast_if_small(keys, max_bytes)
+def lookup_keys(dimension: DataFrame, key: str, surrogate: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The two columns of a dimension that a lookup needs, marked for broadcast if measured small."""
+    return broadcast_if_small(dimension.select(F.col(key).alias("_key"), F.col(surrogate)), max_bytes)
+
+
+def lookup(rows: DataFrame, keys: DataFrame, row_key: str, null_safe: bool = True) -> DataFrame:
+    """Left join that adds the surrogate key to ``rows``; ``keys`` comes from ``lookup_keys``."""
     return rows.join(keys, key_match(rows[row_key], keys["_key"], null_safe), "left").drop("_key")
 
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesdw.operators.joins import broadcast_if_small, lookup
+from salesdw.operators.joins import broadcast_if_small, lookup, lookup_keys
 from salesdw.schema import DIMENSIONS, FACT_TABLE, TABLES
+from salesdw.staging import side_by_side
 
 MEASURES = ("price", "qty_ordered", "grand_total", "discount_amount", "mv")
 
@@ -20,8 +21,9 @@ def fact_view(staged: DataFrame, dimension: Callable[[str], DataFrame], null_saf
     """
     keys = dict.fromkeys(spec.source_key for spec in DIMENSIONS)
     rows = staged.select(*MEASURES, *keys)
-    for spec in DIMENSIONS:
-        rows = lookup(rows, dimension(spec.table), spec.source_key, spec.key, spec.surrogate, null_safe)
+    found = side_by_side(lambda spec: lookup_keys(dimension(spec.table), spec.key, spec.surrogate), DIMENSIONS)
+    for spec, keys_of_dimension in zip(DIMENSIONS, found):
+        rows = lookup(rows, keys_of_dimension, spec.source_key, null_safe)
     return rows.select(*MEASURES, *[spec.surrogate for spec in DIMENSIONS])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -80,10 +81,9 @@ class SalesWarehouse:
 
     def publish(self, table: str, df: DataFrame) -> None:
         """Replace a table that ``df`` may read: write the idle one of two folders, then point to it."""
-        root = self._database_path()
-        here = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}").filter("col_name = 'Location'").first()
-        idle = "b" if here["data_type"].endswith(f"/{table}_a") else "a"
-        path = f"{root}/{table}_{idle}"
+        place = self._property(f"DESCRIBE FORMATTED {self.name(table)}", "Location")
+        idle = "b" if place.endswith(f"/{table}_a") else "a"
+        path = f"{self.root}/{table}_{idle}"
         df.write.mode("overwrite").parquet(path)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.name(table))
@@ -148,6 +148,10 @@ class SalesWarehouse:
     def facts_by_date(self) -> DataFrame:
         return facts_by_date(self.table(FACT_TABLE).drop(BATCH_COLUMN), self.table("dimdate"))
 
-    def _database_path(self) -> str:
-        info = self.spark.sql(f"DESCRIBE DATABASE {self.database}")
-        return info.filter("info_name = 'Location'").first()["info_value"].rstrip("/")
+    @cached_property
+    def root(self) -> str:
+        return self._property(f"DESCRIBE DATABASE {self.database}", "Location").rstrip("/")
+
+    def _property(self, describe: str, name: str) -> str:
+        """One value from the (driver-side, few-row) answer of a DESCRIBE command."""
+        return next(row[1] for row in self.spark.sql(describe).collect() if row[0] == name)

@@ -85,11 +85,11 @@ def test_lookup_is_the_same_beyond_the_broadcast_bound(spark, null_safe):
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 17 == 0, None).otherwise(F.col("id") % 500).alias("k"), "id"
     )
     members = table(spark, [(n, n + 1000) for n in range(400)] + [(None, 5)], "k long, s int")
-    small = joins.lookup(sales, members, "k", "k", "s", null_safe)
+    small = joins.lookup(sales, joins.lookup_keys(members, "k", "s"), "k", null_safe)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        large = joins.lookup(sales, members, "k", "k", "s", null_safe, max_bytes=0)
+        large = joins.lookup(sales, joins.lookup_keys(members, "k", "s", max_bytes=0), "k", null_safe)
         assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
         assert rows_of(small) == rows_of(large)
     finally:
