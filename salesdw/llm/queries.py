@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesdw.llm import host_rules, id_store, packing, simhash
+from salesdw.llm import host_rules, id_store, kmeans_tree, line_dedup, packing, simhash, substring
 from salesdw.llm.common import WORD_TOKENIZER, tokenizer_path
 from salesdw.staging import Staging
 
@@ -47,10 +47,27 @@ def repair_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", start, "n_tokens", "ids_crc32")
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = Staging(spark).put(substring.units(documents(spark, sf_dir)), "units")
+    return substring.repeated(found).drop("text_hash")
+
+
+def line_dedup_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.matching_lines(documents(spark, sf_dir), Staging(spark)).drop("text_hash")
+
+
+def kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kmeans_tree.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return kmeans_tree.search(vectors, vectors.where("vec_id % 20 = 0"), Staging(spark))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
+        "op2_substring_dedup": substring_dedup,
         "op3_simhash_near_dedup": simhash_near_dedup,
         "op4_host_quality_rules": host_quality_rules,
+        "op7_line_dedup": line_dedup_edits,
         "op9_repair_id_store": repair_id_store,
+        "op10_kmeans_tree": kmeans_tree_search,
     }
