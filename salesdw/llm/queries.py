@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesdw.llm import host_rules, id_store, kmeans_tree, line_dedup, packing, simhash, substring
-from salesdw.llm.common import WORD_TOKENIZER, tokenizer_path
+from salesdw.llm import (
+    host_rules,
+    id_store,
+    kmeans_tree,
+    line_dedup,
+    packing,
+    piece_sampling,
+    simhash,
+    substring,
+    toxicity,
+)
+from salesdw.llm.common import PIECE_TOKENIZER, WORD_TOKENIZER, in_split, tokenizer_path
 from salesdw.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +62,27 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated(found).drop("text_hash")
 
 
+def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(~in_split(2, 4)), Staging(spark))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", in_split(2, 4).alias("held_out"), "score", predicted)
+
+
+def gumbel_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two samples a document; ``decodes`` says whether the library turns the pieces into the text again."""
+    path = tokenizer_path(PIECE_TOKENIZER)
+    docs = documents(spark, sf_dir).withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    facts = ["doc_id", "text_crc32", "sample", "n_pieces", "log_prob", "perturbed", "inclusion"]
+    samples = piece_sampling.sample_segmentations(docs, path, ["doc_id", "text_crc32"])
+    crc = F.crc32("ids").alias("ids_crc32")
+    texts = piece_sampling.decode(samples.select("*", crc), path, [*facts, "ids_crc32"])
+    decodes = (F.crc32(F.col("text").cast("binary")) == F.col("text_crc32")).alias("decodes")
+    return texts.select("doc_id", *facts[2:], "ids_crc32", decodes)
+
+
 def line_dedup_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.matching_lines(documents(spark, sf_dir), Staging(spark)).drop("text_hash")
 
@@ -67,7 +98,9 @@ def llm_queries() -> dict[str, Query]:
         "op2_substring_dedup": substring_dedup,
         "op3_simhash_near_dedup": simhash_near_dedup,
         "op4_host_quality_rules": host_quality_rules,
+        "op6_lexicon_toxicity": lexicon_toxicity,
         "op7_line_dedup": line_dedup_edits,
+        "op8_gumbel_piece_sampling": gumbel_piece_sampling,
         "op9_repair_id_store": repair_id_store,
         "op10_kmeans_tree": kmeans_tree_search,
     }
