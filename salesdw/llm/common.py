@@ -58,21 +58,28 @@ class ChunkIds(dict):
     after letters is a word of its own, and plain A-Z letters are lower-cased anyway, so such chunks reuse entries.
     """
 
-    def __init__(self, path: str, entries: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, entries: int = 350_000, longest: int = 64):
         super().__init__()
         self.library = Tokenizer.from_file(path)
+        self.merges = self.library.model
         self.entries, self.longest = entries, longest
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) > self.longest:
             return self.encode(chunk)
-        if chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
+        found = self.older.get(chunk)
+        if found is not None:
+            pass
+        elif chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
             found = self[chunk[:-1]] + self[chunk[-1]]
-        elif chunk.isalpha() and chunk.isascii() and not chunk.islower():
-            found = self[chunk.lower()]
+        elif chunk.isalpha() and chunk.isascii():
+            # One word for the word pattern; the library's merges need no more than its lower case.
+            found = array.array("I", [piece.id for piece in self.merges.tokenize(chunk)]).tobytes() if chunk.islower() else self[chunk.lower()]
         else:
             found = self.encode(chunk)
-        if len(self) >= self.entries:
+        if len(self) >= self.entries:  # what is not asked for until the next change is forgotten
+            self.older = dict(self)
             self.clear()
         self[chunk] = found
         return found
