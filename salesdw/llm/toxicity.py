@@ -83,24 +83,23 @@ def automaton_step(state: tuple[int, ...], word: str, letter: str, bound: int) -
     return tuple(row)
 
 
-def look_up(trie: Trie, word: str, terms: Trie | None = None) -> tuple[str, int] | None:
-    """The nearest lexicon entry that ``word`` matches, and the edits; ties go to the entry first by letters.
-
-    ``terms`` is the trie of the whole terms alone, where known.
-    """
-    node, depth = trie, 0
-    for letter in word:  # word beginnings, and the whole term without edits
+def without_edits(trie: Trie, word: str) -> str | None:
+    """The shortest word beginning in the trie that ``word`` has, else the word itself where it is a term."""
+    node = trie
+    for depth, letter in enumerate(word, 1):
         node = node.next.get(letter)
         if node is None:
-            break
-        depth += 1
-        if node.stem is not None or (depth == len(word) and node.term is not None):
-            return node.stem or node.term, 0
+            return None
+        if node.stem is not None:
+            return node.stem
+    return node.term
+
+
+def within_bound(terms: Trie, word: str) -> tuple[str, int] | None:
+    """The nearest term within its edit bound, and the edits; ties go to the term first by letters."""
     bound = edit_bound(len(word) + 1)
-    if not bound:
-        return None
     best: tuple[int, str] | None = None
-    waiting = [(terms or trie, automaton_start(word, bound))]
+    waiting = [(terms, automaton_start(word, bound))] if bound else []
     while waiting:
         node, state = waiting.pop()
         if node.term is not None and state[-1] <= edit_bound(len(node.term)) and (best is None or (state[-1], node.term) < best):
@@ -113,7 +112,7 @@ def look_up(trie: Trie, word: str, terms: Trie | None = None) -> tuple[str, int]
 
 
 class Matches(dict):
-    """``look_up`` by word, remembered.
+    """The entry that a word matches, and the edits, or None; remembered by word.
 
     The automaton runs only for words that can match: of a term cut into one part more than its edit bound, some part
     is in the word as it is.
@@ -122,15 +121,21 @@ class Matches(dict):
     def __init__(self, trie: Trie, entries: int = 500_000):
         super().__init__()
         self.trie, self.terms, self.entries = trie, without_stems(trie), entries
-        parts = {stem for stem in entries_of(trie, "stem")}
+        self.parts: set[str] = set()
         for term in entries_of(trie, "term"):
             pieces = edit_bound(len(term)) + 1
             cuts = [at * len(term) // pieces for at in range(pieces + 1)]
-            parts.update(term[low:high] for low, high in zip(cuts, cuts[1:]))
-        self.possible = re.compile("|".join(map(re.escape, sorted(parts))) or r"(?!)")
+            self.parts.update(term[low:high] for low, high in zip(cuts, cuts[1:]))
+        self.widths = sorted({len(part) for part in self.parts})
 
     def __missing__(self, word: str) -> tuple[str, int] | None:
-        found = look_up(self.trie, word, self.terms) if 3 <= len(word) <= 40 and self.possible.search(word) else None
+        n, found = len(word), None
+        if 3 <= n <= 40:
+            entry = without_edits(self.trie, word)
+            if entry is not None:
+                found = entry, 0
+            elif not self.parts.isdisjoint([word[at : at + width] for width in self.widths for at in range(n - width + 1)]):
+                found = within_bound(self.terms, word)
         if len(self) >= self.entries:
             self.clear()
         self[word] = found
@@ -172,8 +177,8 @@ class Fitting:
     toxic_rows: int = 4_000
     other_rows: int = 8_000
     candidates: int = 50_000
-    least_rows: int = 8
-    least_share: float = 0.002
+    least_rows: int = 5
+    least_share: float = 0.015
     least_lift: float = 30.0
 
 
@@ -200,6 +205,16 @@ def term_counts(texts: DataFrame, only: frozenset[str] | None = None) -> DataFra
     return texts.select("text").mapInArrow(rows, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def one_of_copies(texts: DataFrame) -> DataFrame:
+    """Of rows that are likely near copies one stays, so that a much copied text does not fill the lexicon.
+
+    Rows count as copies when the two smallest hashes of their words agree; this only thins the learning sample.
+    """
+    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[\x20\x09-\x0D]+"))
+    least = F.slice(F.sort_array(F.transform(words, lambda word: F.xxhash64(word))), 1, 2)
+    return texts.withColumn("_sketch", least).dropDuplicates(["_sketch"]).drop("_sketch")
+
+
 def choose_terms(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int, fitting: Fitting) -> Trie:
     least = max(fitting.least_rows, fitting.least_share * n_toxic)
     good = {
@@ -263,7 +278,8 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, fitting: Fitting =
     other = known.where("toxic <= 0").orderBy(*by_hash).limit(fitting.other_rows)
     chosen = staging.put(toxic.unionByName(other), "sample")
     # At most toxic_rows + other_rows pairs of numbers.
-    sample = staging.put(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "sample-texts")
+    sampled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = staging.put(one_of_copies(sampled), "sample-texts")
     n_toxic, n_other = sample.where("toxic > 0").count(), sample.where("toxic <= 0").count()
     if not n_toxic or not n_other:
         return empty
