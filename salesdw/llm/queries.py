@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salesdw.llm import (
     host_rules,
     id_store,
+    katz,
     kmeans_tree,
     line_dedup,
     packing,
@@ -62,6 +63,12 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated(found).drop("text_hash")
 
 
+def katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", in_split(0, 10))
+    scored, train_tokens = katz.score(docs, Staging(spark))
+    return scored.withColumn("train_tokens", F.lit(train_tokens).cast("long"))
+
+
 def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -98,6 +105,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_substring_dedup": substring_dedup,
         "op3_simhash_near_dedup": simhash_near_dedup,
         "op4_host_quality_rules": host_quality_rules,
+        "op5_katz_backoff": katz_backoff,
         "op6_lexicon_toxicity": lexicon_toxicity,
         "op7_line_dedup": line_dedup_edits,
         "op8_gumbel_piece_sampling": gumbel_piece_sampling,
