@@ -24,7 +24,10 @@ _PLACE = ", ".join(PLACE)
 _RENAMED = ", ".join(f'"{old}" AS {new}' for old, new in RENAMES.items())
 _OTHERS = [name for name in RAW_COLUMNS if name not in RENAMES]
 _REMAINING = [name for name in _OTHERS if name not in UNUSED_COLUMNS]
-_LENIENT = "TRY_CAST(trunc(TRY_CAST({} AS DOUBLE)) AS INTEGER)"
+_LENIENT = (
+    r"CASE WHEN regexp_matches(CAST({0} AS VARCHAR), '^\s*[+-]?\.\d+\s*$') THEN 0 ELSE "
+    r"TRY_CAST(regexp_extract(CAST({0} AS VARCHAR), '^\s*([+-]?\d+)(?:\.\d*)?\s*$', 1) AS INTEGER) END"
+)
 _DAY = "CAST(try_strptime(created_at, '%m/%d/%Y') AS DATE)"
 
 MESSY = f"messy AS ({duckdb_messy_sql()}),\nren AS (SELECT {_quoted(_OTHERS)}, {_RENAMED}, {_ORDER} FROM messy)"
@@ -42,7 +45,7 @@ def _cleaned_ctes(final: bool) -> str:
     if final:
         category = f"replace({category}, chr(92) || 'N', 'NA')"
     label = "'FY' || CAST(y AS VARCHAR)"
-    total = f"{_LENIENT.format('qty_ordered')} * price - TRY_CAST(discount_amount AS DOUBLE)"
+    total = f"({_LENIENT.format('qty_ordered')}) * price - TRY_CAST(discount_amount AS DOUBLE)"
     sku_filter = " AND s1 NOT IN ('test-product', 'test-product-00', 'test_tcsconnect')" if final else ""
     item = "CAST(dense_rank() OVER (ORDER BY s1, c1) AS INTEGER) AS item_id_new" if final else "item_id"
     return f"""{duckdb_raw_sql()},
@@ -313,8 +316,14 @@ def all_sql() -> dict[str, str]:
             f"SELECT {_PLACE}, {_LENIENT.format('item_id')} AS item_id, {_LENIENT.format('qty_ordered')} AS "
             "qty_ordered, TRY_CAST(grand_total AS DOUBLE) AS grand_total, TRY_CAST(mv AS DOUBLE) AS mv FROM ren"
         ),
+        # What each planted form of a whole number q stands for: q, -q, nothing, q, q billions, 0, q.
+        "lenient_casts_edge": (
+            "SELECT l_orderkey, l_linenumber, CAST(CASE l_linenumber WHEN 2 THEN -q WHEN 3 THEN NULL "
+            "WHEN 5 THEN CASE WHEN q <= 2 THEN q * 1000000000 END WHEN 6 THEN 0 ELSE q END AS INTEGER) AS whole "
+            "FROM (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS BIGINT) AS q FROM lineitem)"
+        ),
         "recompute_total": _messy(
-            f"SELECT {_PLACE}, {_LENIENT.format('qty_ordered')} * price - TRY_CAST(discount_amount AS DOUBLE) "
+            f"SELECT {_PLACE}, ({_LENIENT.format('qty_ordered')}) * price - TRY_CAST(discount_amount AS DOUBLE) "
             "AS grand_total FROM ren"
         ),
         "filter_castable": _messy(
@@ -390,6 +399,9 @@ def all_sql() -> dict[str, str]:
             _fact_ctes(_WHOLE, typed=True),
         ),
         "clean_sales": _cleaned("SELECT * FROM cleaned"),
+        "clean_sales_typed_dates": _cleaned("SELECT * FROM cleaned"),
+        "clean_sales_all_text": _cleaned("SELECT * FROM cleaned"),
+        "preview_limit": "SELECT 'rows' AS what, CAST(5 AS BIGINT) AS n UNION ALL SELECT 'foreign', 0",
         "clean_sales_basic": f"WITH {_cleaned_ctes(final=False)}\nSELECT * FROM cleaned",
         "monthly_sales": _cleaned(
             "SELECT CAST(date_trunc('month', created_at) AS DATE) AS sales_month, status, count(*) AS row_count, "

@@ -214,6 +214,24 @@ def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lenient_casts_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers from text with fractions, exponents, blanks, a bare point and values out of range, by line number."""
+    number = F.col("l_quantity").cast("int").cast("string")
+    forms = {
+        1: F.concat(number, F.lit(".99999")),
+        2: F.concat(F.lit("-"), number, F.lit(".99999")),
+        3: F.concat(number, F.lit("e3")),
+        4: F.concat(F.lit(" "), number, F.lit(" ")),
+        5: F.concat(number, F.lit("000000000")),
+        6: F.concat(F.lit("."), number),
+    }
+    text = F.concat(number, F.lit("."))
+    for line, form in forms.items():
+        text = F.when(F.col("l_linenumber") == line, form).otherwise(text)
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("value"))
+    return rows.select("l_orderkey", "l_linenumber", X.lenient_int(F.col("value")).alias("whole"))
+
+
 def recompute_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = X.total_amount(
         X.lenient_int(F.col("qty_ordered")), F.col("price"), X.lenient_double(F.col("discount_amount"))
@@ -364,7 +382,12 @@ def topk_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned_sales(spark, sf_dir).limit(5)
+    """Which rows a preview shows is open; how many, and how many of them are no rows of the table, is not."""
+    cleaned = cleaned_sales(spark, sf_dir)
+    shown = Staging(spark).put(cleaned.limit(5), "preview")
+    rows = shown.agg(F.lit("rows").alias("what"), F.count("*").alias("n"))
+    foreign = shown.exceptAll(cleaned).agg(F.lit("foreign").alias("what"), F.count("*").alias("n"))
+    return rows.unionByName(foreign)
 
 
 # --- load window
@@ -471,6 +494,19 @@ def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), row_id=ROW_ID)
 
 
+def clean_sales_typed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a source whose dates are dates already."""
+    raw = raw_sales(spark, sf_dir).withColumn("created_at", X.parse_date(F.col("created_at")))
+    return clean.clean_sales(raw, Staging(spark), row_id=ROW_ID)
+
+
+def clean_sales_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a source read with all columns as text."""
+    raw = raw_sales(spark, sf_dir)
+    text = raw.withColumns({name: F.col(f"`{name}`").cast("string") for name in RAW_COLUMNS})
+    return clean.clean_sales(text, Staging(spark), row_id=ROW_ID)
+
+
 def clean_sales_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), clean.EXPLORATION, row_id=ROW_ID)
 
@@ -523,6 +559,7 @@ def all_queries() -> dict[str, Query]:
         fy_label,
         fy_label_null_only,
         lenient_casts,
+        lenient_casts_edge,
         recompute_total,
         filter_castable,
         filter_uncastable,
@@ -557,6 +594,8 @@ def all_queries() -> dict[str, Query]:
         fact_append,
         report_fact_by_date,
         clean_sales,
+        clean_sales_typed_dates,
+        clean_sales_all_text,
         clean_sales_basic,
         monthly_sales,
     ]

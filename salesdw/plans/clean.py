@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from salesdw import functions as X
 from salesdw.operators.aggregates import mode_value
@@ -137,6 +138,8 @@ def clean_sales(
             "month": X.fill_from_date(F.col("month"), F.month("created_at")),
             "sku": X.strip_quotes(F.col("_sku")) if rules.strip_quotes else F.col("_sku"),
             "category": F.col("_category"),
+            "price": X.lenient_double(F.col("price")),
+            "customer_id": F.col("customer_id").try_cast("bigint"),
             "qty_ordered": X.lenient_int(F.col("qty_ordered")),
             "grand_total": X.lenient_double(F.col("grand_total")),
             "discount_amount": X.lenient_double(F.col("discount_amount")),
@@ -174,7 +177,9 @@ def load_cleaned(
 
 
 def _prepared(rows: DataFrame) -> DataFrame:
-    date = X.parse_date(F.col("created_at").cast("string"))
+    # Sources with inferred types may have dates already; only text needs parsing.
+    is_text = isinstance(rows.schema["created_at"].dataType, StringType)
+    date = X.parse_date(F.col("created_at")) if is_text else F.col("created_at").cast("date")
     return rows.withColumns({"_date": date, USABLE: X.lenient_int(F.col("item_id")).isNotNull()})
 
 

@@ -27,16 +27,21 @@ def fact_view(staged: DataFrame, dimension: Callable[[str], DataFrame], null_saf
     return rows.select(*MEASURES, *[spec.surrogate for spec in DIMENSIONS])
 
 
-def fact_rows(view: DataFrame, rejects: Observation | None = None) -> DataFrame:
-    """The view in the types of the fact table. A value that does not fit becomes null.
+def fact_rows(view: DataFrame, rejects: Observation | None = None, null_unfit: bool = False) -> DataFrame:
+    """The view in the types of the fact table. A value that does not fit fails the job.
 
-    ``rejects`` counts such values per column while the rows are written, without another pass.
+    With ``null_unfit`` it becomes null instead, and ``rejects`` counts such values per column while the rows are
+    written, without another pass.
     """
     fields = TABLES[FACT_TABLE].fields
     fitted = {field.name: F.col(field.name).try_cast(field.dataType) for field in fields}
+    lost = {name: F.col(name).isNotNull() & fitted[name].isNull() for name in MEASURES}
     if rejects is not None:
-        lost = {name: F.col(name).isNotNull() & fitted[name].isNull() for name in MEASURES}
         view = view.observe(rejects, *[F.count_if(is_lost).alias(name) for name, is_lost in lost.items()])
+    if not null_unfit:
+        for name, is_lost in lost.items():
+            message = F.concat(F.lit(f"{name} does not fit the fact table: "), F.col(name).cast("string"))
+            fitted[name] = F.when(is_lost, F.raise_error(message).cast(TABLES[FACT_TABLE][name].dataType)).otherwise(fitted[name])
     return view.select(*[value.alias(name) for name, value in fitted.items()])
 
 

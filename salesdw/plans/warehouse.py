@@ -115,7 +115,7 @@ class SalesWarehouse:
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} PARTITION ({BATCH_COLUMN} = {int(batch)}) "
             "SELECT * FROM {rows}",
-            rows=fact_rows(self.fact_view(), rejects),
+            rows=fact_rows(self.fact_view(), rejects, self.policy.null_unfit),
         )
         return rejects.get
 

@@ -15,7 +15,9 @@ class LoadPolicy:
 
     ``overlap``: a later window starts on the last day of the one before (that day is then read
     twice) instead of the day after. ``rekey``: a batch numbers its members from 1 again and
-    overwrites the keys of matched members, instead of keeping a member's key for good.
+    overwrites the keys of matched members, instead of keeping a member's key for good. ``null_unfit``:
+    amounts that the fact table's types cannot hold become null and are counted, instead of failing the
+    batch before its window moves.
     """
 
     first_start: date = date(2016, 1, 1)
@@ -25,6 +27,7 @@ class LoadPolicy:
     step_days: int = 365
     overlap: bool = False
     rekey: bool = False
+    null_unfit: bool = False
 
 
 def current_window(state: DataFrame, policy: LoadPolicy = LoadPolicy()) -> DataFrame:

@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows_of
@@ -129,6 +131,12 @@ def test_values_that_do_not_fit_are_counted(spark, house):
     cleaned = cleaned_sales(spark, SMALL).withColumn(
         "price", F.when(F.col("customer_id") % 2 == 0, F.lit(1e9)).otherwise(F.col("price"))
     )
+    before = house.window()
+    with pytest.raises(PySparkException, match="price does not fit"):
+        house.run_batch(cleaned)
+    assert house.window() == before and house.table(FACT_TABLE).isEmpty()
+
+    house.policy = replace(house.policy, null_unfit=True)
     result = house.run_batch(cleaned)
     expected = rows_in_window(cleaned, result.start, result.end).filter("price = 1e9").count()
     assert result.rejected_values["price"] == expected > 0
