@@ -29,13 +29,11 @@ def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the smallest doc_id, then the text's hash; nulls last."""
-    keyed = substring.with_text_hash(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash").alias("key")
+    keyed = substring.with_text_hash(docs, "_hash").withColumn("_key", substring.document_name(text_hash="_hash"))
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("_hash").alias("text_hash")).alias("key")
     found = simhash.near_duplicates(keyed.select(key, "text"), Staging(spark), key="key")
-    name = lambda row: F.concat_ws(":", F.coalesce(F.col(f"{row}doc_id").cast("string"), F.lit("-")), F.col(f"{row}text_hash").cast("string"))
-    kept = found.where("key = component").select(name("key.").alias("_key"))
-    stay = keyed.withColumn("_key", name("")).join(kept, "_key", "left_semi")
-    return stay.dropDuplicates(["_key"]).select(*docs.columns)
+    kept = found.where("key = component").select(substring.document_name("key.doc_id", "key.text_hash").alias("_key"))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesdw.llm.substring import LINE_END, rank, spans, with_text_hash, without_spans
+from salesdw.llm.substring import LINE_END, document_name, rank, spans, with_text_hash, without_spans
 from salesdw.staging import Staging
 
 LINE_SCHEMA = (
@@ -85,12 +85,11 @@ def suspects(found: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """digest and normalised text of the ``wanted`` lines (PLACE, digest, shared: one row per digest)."""
-    name = lambda df: F.concat_ws(":", F.coalesce(df["doc_id"].cast("string"), F.lit("-")), df["text_hash"].cast("string"))
-    lists = wanted.select(name(wanted).alias("_key"), F.struct("unit", "digest", "shared").alias("line"))
+    lists = wanted.select(document_name().alias("_key"), F.struct("unit", "digest", "shared").alias("line"))
     lists = lists.groupBy("_key").agg(F.collect_list("line").alias("lines"))
     keyed = with_text_hash(docs.select("doc_id", "text"))
     # Repeated rows of a document bring the same lines again; one row per line is kept below.
-    joined = keyed.select(name(keyed).alias("_key"), "text").join(lists, "_key").select("text", "lines")
+    joined = keyed.select(document_name().alias("_key"), "text").join(lists, "_key").select("text", "lines")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -28,9 +28,14 @@ NOT_WORD = re.compile(r"[\W_]+")
 UNIT_SCHEMA = "doc_id bigint, text_hash bigint, unit int, start bigint, length bigint, digest binary"
 
 
-def with_text_hash(docs: DataFrame) -> DataFrame:
-    """``docs`` and ``text_hash``, which tells apart texts under one doc_id; null is empty."""
-    return docs.withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+def with_text_hash(docs: DataFrame, name: str = "text_hash") -> DataFrame:
+    """``docs`` and a column ``name``, which tells apart texts under one doc_id; null is empty."""
+    return docs.withColumn(name, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+
+
+def document_name(doc_id: str = "doc_id", text_hash: str = "text_hash") -> Column:
+    """One text for both parts of a document's key, so that null ids join too."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.col(text_hash).cast("string"))
 
 
 def spans(text: str, end: re.Pattern) -> Iterator[tuple[int, int]]:
@@ -133,10 +138,9 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
             )
 
     listed = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("_gone"))
-    keyed = with_text_hash(docs)
-    key = lambda df: F.concat_ws(":", F.coalesce(df["doc_id"].cast("string"), F.lit("-")), df["text_hash"].cast("string"))
-    spots = listed.select(key(listed).alias("_key"), "_gone")
-    joined = keyed.withColumn("_key", key(keyed)).join(spots, "_key", "left").select(*docs.columns, "_gone")
+    spots = listed.select(document_name().alias("_key"), "_gone")
+    keyed = with_text_hash(docs, "_hash").withColumn("_key", document_name(text_hash="_hash"))
+    joined = keyed.join(spots, "_key", "left").select(*[keyed[name] for name in docs.columns], "_gone")
     schema = docs.schema
     result = joined.mapInArrow(rows, schema)
     if "n_chars" in docs.columns:

@@ -97,7 +97,7 @@ def without_edits(trie: Trie, word: str) -> str | None:
 
 def within_bound(terms: Trie, word: str) -> tuple[str, int] | None:
     """The nearest term within its edit bound, and the edits; ties go to the term first by letters."""
-    bound = edit_bound(len(word) + 1)
+    bound = edit_bound(len(word) + 2)  # the longest term that two edits can reach
     best: tuple[int, str] | None = None
     waiting = [(terms, automaton_start(word, bound))] if bound else []
     while waiting:
