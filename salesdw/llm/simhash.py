@@ -82,7 +82,7 @@ def chain_keys(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarra
             low = near // 2 if half == 0 else near - near // 2
             rest = (turned << np.uint64(exact + half * (near // 2))) >> np.uint64(64 - low) if near else np.uint64(0)
             joined = (head << np.uint64(low) | rest) if near else head
-            # The start and half are mixed in by a multiplication, so that keys of different chains do not meet.
+            # The last five bits tell start and half, so that keys of different chains do not meet.
             tag = np.uint64(2 * start + half)
             keys.append((joined << np.uint64(5)) | tag)
     return np.concatenate(keys), np.tile(np.arange(len(values)), len(keys))
@@ -202,7 +202,10 @@ def _by_variants(values: DataFrame, distance: int) -> DataFrame:
 def near_components(
     marks: DataFrame, staging: Staging, distance: int = 3, small_run: int = 8, largest_run: int = 100_000
 ) -> DataFrame:
-    """``fingerprint`` and ``root`` for every fingerprint that has another within reach; roots only group, see there."""
+    """``fingerprint`` and ``root`` for every fingerprint that has another within reach.
+
+    A root is the smallest linked fingerprint (as a signed number); roots themselves have no row.
+    """
     spark = marks.sparkSession
     distinct = marks.select("fingerprint").distinct()
 
