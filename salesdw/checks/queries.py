@@ -370,7 +370,8 @@ def forward_fill_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dense_rank_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = fill_constant(spark, sf_dir)
-    return ordering.dense_rank_rows(source, ["sku", "category"], "item_id_new", Staging(spark))
+    ranked = ordering.dense_rank_rows(source, ["sku", "category"], "item_id_new", Staging(spark))
+    return ranked.withColumn("item_id_new", F.col("item_id_new").cast("int"))
 
 
 def ordered_projection(spark: SparkSession, sf_dir: str) -> DataFrame:

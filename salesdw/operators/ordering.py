@@ -35,7 +35,7 @@ def sorted_row_ids(df: DataFrame, keys: list, name: str) -> DataFrame:
 
 
 def number_rows(df: DataFrame, keys: list, name: str, staging: Staging) -> DataFrame:
-    """``row_number() over (order by keys)`` as INT, sorted in parallel.
+    """``row_number() over (order by keys)`` as BIGINT, sorted in parallel.
 
     A row's number is its position in its range partition plus the sizes of the partitions before it.
     """
@@ -49,7 +49,7 @@ def number_rows(df: DataFrame, keys: list, name: str, staging: Staging) -> DataF
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(name, (F.col("_before") + position + 1).cast("int"))
+        .withColumn(name, F.col("_before") + position + 1)
         .drop("_part", "_place", "_before")
     )
 

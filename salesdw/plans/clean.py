@@ -104,6 +104,7 @@ def product_map(rows: DataFrame, staging: Staging, rules: CleaningRules = FINAL)
         return mark(named.drop("_kept"))
     items = named.filter("_kept").select("_sku", "_category").distinct()
     numbered = number_rows(items, ["_sku", "_category"], "item_id_new", staging)
+    numbered = numbered.withColumn("item_id_new", F.col("item_id_new").cast("int"))
     return mark(named.filter("_kept").drop("_kept").join(numbered, ["_sku", "_category"]))
 
 

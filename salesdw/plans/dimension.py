@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdw.operators.joins import merge_upsert
@@ -35,34 +35,33 @@ def typed(members: DataFrame, spec: Dimension) -> DataFrame:
     return members.select(*[F.col(name).cast(types[name].dataType) for name in [spec.key, *spec.attributes]])
 
 
+def keyed(members: DataFrame, spec: Dimension, number: Column) -> DataFrame:
+    """``number`` as the surrogate key, in the type of the dimension table; one too large for it fails the job."""
+    return members.withColumn(spec.surrogate, number.cast(TABLES[spec.table][spec.surrogate].dataType)).select(*spec.columns)
+
+
 def dimension_view(staged: DataFrame, spec: Dimension, staging: Staging) -> DataFrame:
     """The distinct members of a batch, numbered from 1 in key order (nulls first)."""
     members = distinct_members(staged, spec)
-    return number_rows(members, [spec.key, *spec.attributes], spec.surrogate, staging).select(*spec.columns)
+    return keyed(number_rows(members, [spec.key, *spec.attributes], "_number", staging), spec, F.col("_number"))
 
 
 def upsert_stable(current: DataFrame, members: DataFrame, spec: Dimension, staging: Staging) -> DataFrame:
     """Type-1 upsert in which a member keeps its surrogate key for good.
 
-    Matched members take the new attributes. New members sort before old ones here, so their row
-    number counts them from 1 in key order, on from the highest key in use. Null is a member like others.
+    Matched members take the new attributes. Only members that ``current`` does not have are sorted and numbered,
+    in key order on from the highest key in use. Null is a member like others.
     """
-    old = current.alias("old")
-    new = members.withColumn("_new", F.lit(True)).alias("new")
-    joined = old.join(new, F.col(f"old.{spec.key}").eqNullSafe(F.col(f"new.{spec.key}")), "full_outer")
-    fresh = F.col("_new").isNotNull()
-    merged = joined.select(
-        *[
-            F.when(fresh, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
-            for name in [spec.key, *spec.attributes]
-        ],
-        spec.surrogate,
-    )
-    numbered = number_rows(merged, [F.col(spec.surrogate).asc_nulls_first(), spec.key], "_number", staging)
+    members = staging.put(members, f"members-{spec.table}")
+    names = [spec.key, *spec.attributes]
+    seen = members.select(F.lit(True).alias("_seen"), *[F.col(name).alias(f"_new_{name}") for name in names])
+    matched = current.join(seen, F.col(spec.key).eqNullSafe(F.col(f"_new_{spec.key}")), "left")
+    latest = [F.when(F.col("_seen"), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name) for name in spec.attributes]
+    known = current.select(F.col(spec.key).alias("_known"))
+    fresh = members.join(known, F.col(spec.key).eqNullSafe(F.col("_known")), "left_anti")
     highest = current.agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).scalar()
-    return numbered.withColumn(
-        spec.surrogate, F.coalesce(F.col(spec.surrogate), F.col("_number") + highest)
-    ).select(*spec.columns)
+    numbered = number_rows(fresh, [spec.key], "_number", staging)
+    return matched.select(spec.key, *latest, spec.surrogate).unionByName(keyed(numbered, spec, F.col("_number") + highest))
 
 
 def upsert_rekeyed(current: DataFrame, staged: DataFrame, spec: Dimension, staging: Staging) -> DataFrame:

@@ -62,6 +62,20 @@ def test_keys_are_stable(spark, staging):
     assert rows_of(again) == rows_of(second)
 
 
+def test_only_new_members_are_numbered(spark, staging, monkeypatch):
+    counts, plain = [], dimension.number_rows
+
+    def counting(df, *rest):
+        counts.append(df.count())
+        return plain(df, *rest)
+
+    monkeypatch.setattr(dimension, "number_rows", counting)
+    empty = spark.createDataFrame([], TABLES[PRODUCT.table])
+    first = staging.put(dimension.upsert_stable(empty, members(spark, [10, 20, None]), PRODUCT, staging), "one")
+    second = dimension.upsert_stable(first, members(spark, [20, None]), PRODUCT, staging)
+    assert rows_of(second) == rows_of(first) and counts == [3, 0]
+
+
 def sales(spark, rows):
     return spark.createDataFrame(
         [(k, since, date(2016, 1, 1) + timedelta(days=day)) for k, since, day in rows],
