@@ -247,6 +247,21 @@ UNION ALL {counts}) n ON c.table_name = n.table_name""",
     )
 
 
+def _named_views() -> str:
+    batch = _batch(_run_windows(2))
+    members = "".join(_batch_members(spec, batch) for spec in DIMENSIONS)
+    parts = [
+        f"SELECT '{spec.view}' AS view_name, count(*) AS row_count, CAST(sum({spec.surrogate}) AS BIGINT) AS total "
+        f"FROM {spec.table} WHERE batch = 1"
+        for spec in DIMENSIONS
+    ]
+    facts = (
+        "SELECT 'view_fact_table', count(*), CAST(sum(qty_ordered) AS BIGINT) "
+        f"FROM (SELECT *, {batch} AS batch FROM cleaned) WHERE batch = 1"
+    )
+    return _cleaned(" UNION ALL ".join([*parts, facts]), members)
+
+
 def _schema_report() -> str:
     kinds = {"price": "double", "qty_ordered": "int", "grand_total": "double", "created_at": "date", "year": "int"}
     kinds |= {"discount_amount": "double", "mv": "int", "month": "int", "customer_id": "bigint", "item_id_new": "int"}
@@ -418,5 +433,7 @@ def all_sql() -> dict[str, str]:
             sql[f"scd1_{spec.name}_rekey"] = _cleaned(f"SELECT {fields} FROM dim", _rekeyed(spec))
     for runs in (1, 2, 3):
         sql[f"incremental_run_{runs}"] = _incremental(runs)
-    sql["incremental_run_2_rekey"] = _incremental(2, rekey=True)
+    sql["incremental_run_2_rekey"] = sql["incremental_rerun_rekey"] = _incremental(2, rekey=True)
+    sql["incremental_rerun"] = sql["incremental_run_2"]
+    sql["named_views"] = _named_views()
     return sql

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from salesdw.plans.dimension import dimension_view, latest_members, upsert_rekeyed, upsert_stable
-from salesdw.plans.fact import fact_rows, fact_view, facts_by_date
+from salesdw.plans.fact import MEASURES, fact_rows, fact_view, facts_by_date
 from salesdw.plans.window_state import LoadPolicy, current_window, next_window, rows_in_window
 from salesdw.schema import (
     BATCH_COLUMN,
@@ -79,12 +79,17 @@ class SalesWarehouse:
         ]
         return self.spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
 
-    def publish(self, table: str, df: DataFrame) -> None:
-        """Replace a table that ``df`` may read: write the idle one of two folders, then point to it."""
-        place = self._property(f"DESCRIBE FORMATTED {self.name(table)}", "Location")
-        idle = "b" if place.endswith(f"/{table}_a") else "a"
+    def place(self, table: str) -> str:
+        return self._property(f"DESCRIBE FORMATTED {self.name(table)}", "Location")
+
+    def write_idle(self, table: str, df: DataFrame) -> str:
+        """Write ``df``, which may read the table, to the one of its two folders that is not in use."""
+        idle = "b" if self.place(table).endswith(f"/{table}_a") else "a"
         path = f"{self.root}/{table}_{idle}"
         df.write.mode("overwrite").parquet(path)
+        return path
+
+    def point_to(self, table: str, path: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.name(table))
 
@@ -98,24 +103,30 @@ class SalesWarehouse:
         overwrite_table(rows_in_window(cleaned, start, end), self.name(STAGE_TABLE))
         return batch, start, end
 
-    def load_dimension(self, spec: Dimension, staging: Staging) -> None:
+    def write_dimension(self, spec: Dimension, staging: Staging) -> str:
+        """The folder of the dimension after this batch; the table still shows the one before."""
         staged, current = self.table(STAGE_TABLE), self.table(spec.table)
         if self.policy.rekey:
             updated = upsert_rekeyed(current, staged, spec, staging)
         else:
             updated = upsert_stable(current, latest_members(staged, spec), spec, staging)
-        self.publish(spec.table, updated)
+        return self.write_idle(spec.table, updated)
+
+    def fact_view(self, written: dict[str, str] | None = None) -> DataFrame:
+        """Fact rows of the staged batch, looked up in the tables or in the folders ``written`` for them."""
 
-    def fact_view(self) -> DataFrame:
-        return fact_view(self.table(STAGE_TABLE), self.table, null_safe=not self.policy.rekey)
+        def dimension(table: str) -> DataFrame:
+            return self.spark.read.schema(TABLES[table]).parquet(written[table]) if written else self.table(table)
 
-    def load_facts(self, batch: int) -> dict[str, int]:
+        return fact_view(self.table(STAGE_TABLE), dimension, null_safe=not self.policy.rekey)
+
+    def load_facts(self, batch: int, written: dict[str, str] | None = None) -> dict[str, int]:
         """Write the facts of one batch over its partition; returns the values lost per column."""
         rejects = Observation()
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} PARTITION ({BATCH_COLUMN} = {int(batch)}) "
             "SELECT * FROM {rows}",
-            rows=fact_rows(self.fact_view(), rejects, self.policy.null_unfit),
+            rows=fact_rows(self.fact_view(written), rejects, self.policy.null_unfit),
         )
         return rejects.get
 
@@ -127,23 +138,48 @@ class SalesWarehouse:
         )
 
     def run_batch(self, cleaned: DataFrame) -> BatchResult:
-        """Stage, load the six dimensions, load the facts, advance the window.
+        """Stage, write the six dimensions and the facts, then show the dimensions and advance the window.
 
-        The window moves last: a batch that fails is read again and replaces what it has written.
+        All rows are written before any dimension changes; what follows touches the catalog and one window row, and
+        is taken back where it fails. So a batch that fails starts again from the last finished one, in both forms of
+        keys, and replaces what it has written.
         """
         batch, start, end = self.stage(cleaned)
         with Staging(self.spark) as staging:
-            side_by_side(lambda spec: self.load_dimension(spec, staging), DIMENSIONS)
-        rejected = self.load_facts(batch)
-        self.advance()
+            paths = side_by_side(lambda spec: self.write_dimension(spec, staging), DIMENSIONS)
+            written = {spec.table: path for spec, path in zip(DIMENSIONS, paths)}
+            rejected = self.load_facts(batch, written)
+        before = {table: self.place(table) for table in written}
+        try:
+            for table, path in written.items():
+                self.point_to(table, path)
+            self.advance()
+        except BaseException:
+            for table, path in before.items():
+                self.point_to(table, path)
+            raise
         return BatchResult(batch, start, end, rejected)
 
-    def create_views(self, staging: Staging) -> None:
-        """Register the numbered members and the fact rows of the staged batch as temporary views."""
-        for spec in DIMENSIONS:
-            view = dimension_view(self.table(STAGE_TABLE), spec, staging)
-            view.createOrReplaceTempView(spec.view)
-        self.fact_view().createOrReplaceTempView(FACT_VIEW)
+    def create_views(self) -> None:
+        """Create the seven named views in the database, and bring those of the dimensions up to the staged batch.
+
+        They stay in the catalog and read its tables whenever they are asked. The members' numbers need a sort of
+        all members, so they are written to a table of their own behind each view; call this again after a batch.
+        """
+        with Staging(self.spark) as staging:
+            for spec in DIMENSIONS:
+                members = dimension_view(self.table(STAGE_TABLE), spec, staging)
+                overwrite_table(members, self.name(f"members_{spec.table}"))
+                self._create_view(spec.view, f"SELECT * FROM {self.name(f'members_{spec.table}')}")
+        same = "=" if self.policy.rekey else "<=>"
+        joins = " ".join(
+            f"LEFT JOIN {self.name(spec.table)} ON s.{spec.source_key} {same} {spec.table}.{spec.key}" for spec in DIMENSIONS
+        )
+        fields = ", ".join([*[f"s.{name}" for name in MEASURES], *[spec.surrogate for spec in DIMENSIONS]])
+        self._create_view(FACT_VIEW, f"SELECT {fields} FROM {self.name(STAGE_TABLE)} s {joins}")
+
+    def _create_view(self, view: str, select: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(view)} AS {select}")
 
     def facts_by_date(self) -> DataFrame:
         return facts_by_date(self.table(FACT_TABLE).drop(BATCH_COLUMN), self.table("dimdate"))
