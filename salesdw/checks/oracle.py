@@ -416,6 +416,7 @@ def all_sql() -> dict[str, str]:
         "clean_sales": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_typed_dates": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_all_text": _cleaned("SELECT * FROM cleaned"),
+        "clean_sales_scan_order": _cleaned("SELECT * FROM cleaned"),
         "preview_limit": "SELECT 'rows' AS what, CAST(5 AS BIGINT) AS n UNION ALL SELECT 'foreign', 0",
         "clean_sales_basic": f"WITH {_cleaned_ctes(final=False)}\nSELECT * FROM cleaned",
         "monthly_sales": _cleaned(

@@ -549,6 +549,16 @@ def clean_sales_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(text, Staging(spark), row_id=ROW_ID)
 
 
+def clean_sales_scan_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files of very different sizes, each twice the one before, and without a row id."""
+    staging = Staging(spark)
+    piece = F.lpad(F.floor(F.log2(F.coalesce(ROW_ID, F.lit(1)))).cast("string"), 2, "0")
+    ordered = raw_sales(spark, sf_dir).withColumn("piece", piece).repartitionByRange(8, ROW_ID)
+    path = f"{staging.path}/sales"
+    ordered.sortWithinPartitions("piece", ROW_ID).drop(ROW_ID).write.partitionBy("piece").parquet(path)
+    return clean.clean_sales(files.read_sales(spark, path, "parquet").drop("piece"), staging)
+
+
 def clean_sales_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), clean.EXPLORATION, row_id=ROW_ID)
 
@@ -639,6 +649,7 @@ def all_queries() -> dict[str, Query]:
         clean_sales,
         clean_sales_typed_dates,
         clean_sales_all_text,
+        clean_sales_scan_order,
         clean_sales_basic,
         monthly_sales,
     ]

@@ -7,6 +7,7 @@ Only one row per partition (or per block of rows) ever meets in one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,25 @@ def scan_row_ids(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id() + 1)
 
 
+def file_row_ids(df: DataFrame, name: str, staging: Staging) -> DataFrame:
+    """Unique ids that rise in source order, gaps allowed: files by path, then rows by their place in the file.
+
+    Spark deals out file splits by size, so ids of the scan keep the source order inside a split only. The distinct
+    splits are therefore ranked by path and start, and the rank is the id's high part; a pass over the files without
+    their columns finds them. Apply directly on a scan; rows that come from no files get ids in scan order.
+    """
+    split = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")]
+    try:
+        splits = df.select(*split).distinct()
+    except AnalysisException:
+        return scan_row_ids(df, name)
+    ranks = staging.put(number_rows(splits, ["_path", "_start"], "_split", staging), "splits")
+    placed = df.select("*", *split, F.monotonically_increasing_id().alias("_place"))
+    position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    ranked = placed.join(broadcast_if_small(ranks), ["_path", "_start"])
+    return ranked.select(*[df[column] for column in df.columns], (F.shiftleft("_split", POSITION_BITS) + position).alias(name))
+
+
 def sorted_row_ids(df: DataFrame, keys: list, name: str) -> DataFrame:
     """Unique ids from 1, gaps allowed, that rise with ``keys`` over the whole table.
 

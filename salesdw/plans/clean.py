@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType
 from salesdw import functions as X
 from salesdw.operators.aggregates import mode_value
 from salesdw.operators.joins import fits_broadcast
-from salesdw.operators.ordering import forward_fill, number_rows, scan_row_ids
+from salesdw.operators.ordering import file_row_ids, forward_fill, number_rows
 from salesdw.operators.rows import drop_duplicate_rows, drop_empty_rows, mark_copies
 from salesdw.schema import CLEANED_COLUMNS, NOT_AVAILABLE, RENAMES, TEST_SKUS, UNUSED_COLUMNS
 from salesdw.sources.tables import overwrite_table, sort_for_write
@@ -60,11 +60,11 @@ EXPLORATION = CleaningRules(
 def source_rows(raw: DataFrame, staging: Staging, row_id: str | None = None) -> DataFrame:
     """Distinct non-empty raw rows, wanted columns only, numbered in source order, staged.
 
-    ``row_id`` names a BIGINT column that gives the source order; without it the scan order counts.
+    ``row_id`` names a BIGINT column that gives the source order; without it files count in the order of their paths.
     Of equal rows the first is kept. Full rows are shuffled only where they may have a copy.
     """
     data = [name for name in raw.columns if name != row_id]
-    rows = scan_row_ids(raw, ROW_ID) if row_id is None else raw.withColumnRenamed(row_id, ROW_ID)
+    rows = file_row_ids(raw, ROW_ID, staging) if row_id is None else raw.withColumnRenamed(row_id, ROW_ID)
     rows = drop_empty_rows(rows, data)
     marked = mark_copies(rows, ROW_ID, "_copied", staging)
     if marked is None:

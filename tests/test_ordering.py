@@ -71,3 +71,17 @@ def test_rows_never_meet_in_one_task(spark, staging):
     assert plan.count("SinglePartition") == 1
     single = plan[plan.index("SinglePartition"):].split("\n")[1]
     assert "HashAggregate" in single and "_block1" in single
+
+
+def test_file_row_ids_follow_the_paths(spark, staging, tmp_path):
+    """A small file comes before a large one by its path, although Spark scans the large one first."""
+    for name, low, high in (("2016", 0, 3), ("2017", 3, 50_000), ("2018", 50_000, 50_010)):
+        spark.range(low, high, numPartitions=1).write.parquet(str(tmp_path / f"year={name}"))
+    ids = ordering.file_row_ids(spark.read.parquet(str(tmp_path)).drop("year"), "n", staging)
+    assert [row["id"] for row in ids.orderBy("n").collect()] == list(range(50_010))
+    assert ids.select("n").distinct().count() == 50_010
+
+
+def test_file_row_ids_without_files(spark, staging):
+    df = spark.createDataFrame([(3,), (1,)], "a int").coalesce(1)
+    assert [row["a"] for row in ordering.file_row_ids(df, "n", staging).orderBy("n").collect()] == [3, 1]
