@@ -19,6 +19,7 @@ Random numbers are a hash of the row's key and a counter, so a row gets the same
 from __future__ import annotations
 
 import array
+import functools
 import heapq
 import itertools
 import math
@@ -47,32 +48,63 @@ def uniforms(seeds: np.ndarray, counters: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
+def chunks_of(text: str) -> list[str]:
+    return CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted number stands in the sorted keys, and whether it is there."""
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
 class Lattices:
-    """Prepared parts. State s has the arcs first[s] to first[s + 1]; ``bound`` is s plus the summed probabilities."""
+    """Prepared parts. State s has the arcs first[s] to first[s + 1]; ``bound`` is s plus the summed probabilities.
+
+    The pieces are a trie with numbered nodes, 0 being its root: the child of a node by a character is looked up among
+    the sorted keys node * characters + character, for many places of the texts at once.
+    """
 
     def __init__(self, path: str, arcs: int = 3_000_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.limit = arcs
         self.piece: dict[str, tuple[int, float]] = {}
         self.bytes: dict[int, tuple[int, float]] = {}
-        self.inner: set[str] = set()
         size = model.get_piece_size()
         for number in range(size):
             text = model.id_to_piece(number)
             if model.is_byte(number):
                 self.bytes[int(text[3:5], 16)] = number, -math.log(size + SHIFT)
             elif not (model.is_control(number) or model.is_unknown(number) or model.is_unused(number)):
-                rank = min(-model.get_score(number), size)
-                self.piece[text] = number, -math.log(rank + SHIFT)
-                self.inner.update(map("".join, zip(text, text[1:])))
-        # Every beginning of a piece, with the piece's id and weight where it is one itself.
-        self.known: dict[str, tuple[int, float] | None] = {text[:n]: None for text in self.piece for n in range(1, len(text) + 1)}
-        self.known.update(self.piece)
+                self.piece[text] = number, -math.log(min(-model.get_score(number), size) + SHIFT)
+        self.byte_ids = np.array([self.bytes[byte][0] for byte in range(256)], np.uint32)
+        self.byte_weight = self.bytes[0][1]
+        alphabet = sorted({ord(letter) for text in self.piece for letter in text})
+        # Characters by code point; all that no piece has are the last one.
+        self.width = len(alphabet) + 1
+        self.letter = np.full(0x110000, len(alphabet), np.int32)
+        self.letter[alphabet] = np.arange(len(alphabet))
+        child: dict[int, int] = {}
+        ends: dict[int, tuple[int, float]] = {}
+        for text, piece in self.piece.items():
+            node = 0
+            for letter in self.letter[[ord(one) for one in text]].tolist():
+                node = child.setdefault(node * self.width + letter, len(child) + 1)
+            ends[node] = piece
+        self.keys = np.array(sorted(child), np.int64)
+        self.child = np.array([child[key] for key in self.keys.tolist()], np.int64)
+        self.number = np.full(len(child) + 1, -1, np.int64)
+        self.number[list(ends)] = [number for number, _ in ends.values()]
+        self.weight = np.zeros(len(child) + 1)
+        self.weight[list(ends)] = [weight for _, weight in ends.values()]
+        # Neighbours in some piece, as left * characters + right.
+        places = [self.letter[[ord(one) for one in text]].astype(np.int64) for text in self.piece if len(text) > 1]
+        self.inner = np.unique(np.concatenate([at[:-1] * self.width + at[1:] for at in places] or [np.zeros(0, np.int64)]))
         self.clear()
 
     def clear(self) -> None:
-        self.starts = Starts(self)
-        self.parts: dict[str, int] = {}
+        self.starts: dict[str, tuple[int, ...]] = {}  # where the parts of a chunk begin
         # Per state: its first arc. Per arc: the bound, the next state (-1: the end), the log probability, its ids.
         self.first, self.bound = array.array("q", [0]), array.array("d")
         self.to, self.logp = array.array("q"), array.array("d")
@@ -80,43 +112,69 @@ class Lattices:
         # Of the states that are not weighted yet: characters up to the part's end.
         self.fresh = array.array("q")
 
-    def states(self, chunk: str) -> tuple[int, ...]:
-        """Where the parts of a chunk begin."""
-        inner, at, parts = self.inner, 0, []
-        for place in range(1, len(chunk) + 1):
-            if place == len(chunk) or chunk[place - 1 : place + 1] not in inner:
-                part = chunk[at:place]
-                known = self.parts.get(part)
-                parts.append(self._part(part) if known is None else known)
-                at = place
-        return tuple(parts)
-
-    def _part(self, part: str) -> int:
-        """Note the arcs of a new part with their weights; ``weigh`` makes probabilities of them."""
-        known, n = self.known, len(part)
-        base = self.parts[part] = len(self.first) - 1
-        to, logp, ids, id_at, first = self.to, self.logp, self.ids, self.id_at, self.first
-        for at in range(n):
-            single = False
-            for end in range(at + 1, n + 1):
-                piece = known.get(part[at:end], False)
-                if piece is False:
-                    break
-                if piece is not None:
-                    single = single or end == at + 1
-                    to.append(base + end if end < n else -1)
-                    ids.append(piece[0])
-                    logp.append(piece[1])
-                    id_at.append(len(ids))
-            if not single:
-                spelled = [self.bytes[byte] for byte in part[at].encode()]
-                to.append(base + at + 1 if at + 1 < n else -1)
-                logp.append(sum(weight for _, weight in spelled))
-                ids.extend(number for number, _ in spelled)
-                id_at.append(len(ids))
-            first.append(len(to))
-        self.fresh.extend(range(n, 0, -1))
-        return base
+    def prepare(self, texts: list[list[str]]) -> None:
+        """Note the parts of all chunks that are not known yet; ``weigh`` makes probabilities of their weights."""
+        new = [chunk for chunk in dict.fromkeys(itertools.chain.from_iterable(texts)) if chunk not in self.starts]
+        if not new:
+            return
+        codes = np.frombuffer("".join(new).encode("utf-32-le"), "<u4")
+        letters = self.letter[codes].astype(np.int64)
+        chunk_ends = np.cumsum([len(chunk) for chunk in new])
+        begins = np.ones(len(codes), bool)
+        begins[1:] = ~_among(self.inner, letters[:-1] * self.width + letters[1:])[1]
+        begins[chunk_ends[:-1]] = True
+        begin = np.flatnonzero(begins)
+        sizes = np.diff(np.append(begin, len(codes)))
+        end = np.repeat(begin + sizes, sizes)
+        state = len(self.first) - 1
+        self._arcs(codes, letters, end, state)
+        self.fresh.frombytes((end - np.arange(len(codes))).tobytes())
+        parts = (begin + state).tolist()
+        edges = [0, *np.searchsorted(begin, chunk_ends).tolist()]
+        self.starts.update((chunk, tuple(parts[low:high])) for chunk, low, high in zip(new, edges, edges[1:]))
+
+    def _arcs(self, codes: np.ndarray, letters: np.ndarray, end: np.ndarray, state: int) -> None:
+        """The arcs of every place in order: by length, bytes last."""
+        count = np.zeros(len(codes), np.int64)
+        steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []  # places, their rank there, nodes, length
+        active, node, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        while len(active):
+            at, found = _among(self.keys, node * self.width + letters[active + length])
+            active, node, length = active[found], self.child[at[found]], length + 1
+            whole = self.number[node] >= 0
+            steps.append((active[whole], count[active[whole]], node[whole], length))
+            count[active[whole]] += 1
+            going = active + length < end[active]
+            active, node = active[going], node[going]
+        single = np.zeros(len(codes), bool)
+        single[steps[0][0]] = True
+        spelled = np.flatnonzero(~single)
+        rank = count[spelled]
+        count[spelled] += 1
+        edges = np.cumsum(count)
+        first = edges - count
+        total = int(edges[-1])
+        to, logp, wide = np.zeros(total, np.int64), np.zeros(total), np.ones(total, np.int64)
+        piece = np.zeros(total, np.int64)
+        for places, ranks, nodes, length in steps:
+            arc = first[places] + ranks
+            to[arc] = np.where(places + length < end[places], places + length + state, -1)
+            logp[arc], piece[arc] = self.weight[nodes], self.number[nodes]
+        arc = first[spelled] + rank
+        own = codes[spelled]
+        n_bytes = 1 + (own >= 0x80).astype(np.int64) + (own >= 0x800) + (own >= 0x10000)
+        to[arc] = np.where(spelled + 1 < end[spelled], spelled + 1 + state, -1)
+        logp[arc], wide[arc] = n_bytes * self.byte_weight, n_bytes
+        id_ends = np.cumsum(wide)
+        ids = np.repeat(piece, wide).astype(np.uint32)
+        if len(spelled):
+            place = np.repeat(id_ends[arc] - wide[arc] - (np.cumsum(n_bytes) - n_bytes), n_bytes) + np.arange(int(n_bytes.sum()))
+            ids[place] = self.byte_ids[np.frombuffer(own.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        self.first.frombytes((edges + self.first[-1]).tobytes())
+        self.id_at.frombytes((id_ends + self.id_at[-1]).tobytes())
+        self.to.frombytes(to.tobytes())
+        self.logp.frombytes(logp.tobytes())
+        self.ids.frombytes(ids.tobytes())
 
     def weigh(self) -> None:
         """Backward sums of all new states at once, those nearest to their part's end first."""
@@ -149,24 +207,11 @@ class Lattices:
         self.bound.frombytes((np.repeat(np.arange(state, state + len(left)), sizes) + inner).tobytes())
         self.fresh = array.array("q")
 
-    def of_text(self, text: str) -> np.ndarray:
+    def of_chunks(self, chunks: list[str]) -> np.ndarray:
         """States where the parts of a text begin, in order."""
-        chunks = CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else ()
         return np.array(list(itertools.chain.from_iterable(map(self.starts.__getitem__, chunks))), np.int64)
 
 
-class Starts(dict):
-    """``states`` by chunk, remembered."""
-
-    def __init__(self, lattices: Lattices):
-        super().__init__()
-        self.lattices = lattices
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        found = self[chunk] = self.lattices.states(chunk)
-        return found
-
-
 class View:
     """The prepared arcs as arrays, for as long as none are added."""
 
@@ -207,6 +252,12 @@ class View:
         return self.ids[place]
 
 
+@functools.lru_cache(maxsize=1)
+def shared_lattices(path: str) -> Lattices:
+    """One for all tasks of a Python worker, so that common words are prepared once."""
+    return Lattices(path)
+
+
 def _below(location: np.ndarray, bound: float, uniform: np.ndarray) -> np.ndarray:
     """Gumbel values at ``location`` that are at most ``bound``."""
     with np.errstate(divide="ignore"):
@@ -297,8 +348,10 @@ class Search:
 
 def sample_texts(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple]]:
     """For each text its samples: (number, ids, log probability, perturbed value, inclusion probability)."""
-    parts = [lattices.of_text(text) for text in texts]
+    chunks = [chunks_of(text) for text in texts]
+    lattices.prepare(chunks)
     lattices.weigh()
+    parts = [lattices.of_chunks(own) for own in chunks]
     view = View(lattices)
     searches = [Search(seed, own, k) for seed, own in zip(seeds, parts)]
     for number in range(k):
@@ -335,7 +388,7 @@ def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int =
     seeded = docs.select(*carry, F.coalesce(F.col("text"), F.lit("")).alias("_text"), F.xxhash64(carry[0], F.coalesce(F.col("text"), F.lit(""))).alias("_seed"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(path)
+        lattices = shared_lattices(path)
         for batch in batches:
             for at in range(0, batch.num_rows, texts_at_once):
                 part = batch.slice(at, texts_at_once)
