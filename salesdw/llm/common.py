@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import functools
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -73,3 +74,9 @@ class ChunkIds(dict):
 
     def of_text(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
+
+
+@functools.lru_cache(maxsize=1)
+def shared_chunk_ids(path: str) -> ChunkIds:
+    """One for all tasks of a Python worker, so that common chunks are encoded once."""
+    return ChunkIds(path)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesdw.llm.common import ChunkIds
+from salesdw.llm.common import shared_chunk_ids
 from salesdw.staging import Staging
 
 END_ID = 0
@@ -34,7 +34,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int =
     width = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = ChunkIds(tokenizer), np.uint32(end_id).tobytes()
+        known, end = shared_chunk_ids(tokenizer), np.uint32(end_id).tobytes()
         for batch in batches:
             names, numbers, parts = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
