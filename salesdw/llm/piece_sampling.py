@@ -94,6 +94,8 @@ class Lattices:
             ends[node] = piece
         self.keys = np.array(sorted(child), np.int64)
         self.child = np.array([child[key] for key in self.keys.tolist()], np.int64)
+        # By character, the root's children; 0, which is no child, where there is none.
+        self.root = np.array([child.get(letter, 0) for letter in range(self.width)], np.int64)
         self.number = np.full(len(child) + 1, -1, np.int64)
         self.number[list(ends)] = [number for number, _ in ends.values()]
         self.weight = np.zeros(len(child) + 1)
@@ -137,18 +139,18 @@ class Lattices:
         """The arcs of every place in order: by length, bytes last."""
         count = np.zeros(len(codes), np.int64)
         steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []  # places, their rank there, nodes, length
-        active, node, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        node, length = self.root[letters], 1
+        active = np.flatnonzero(node)
+        node = node[active]
         while len(active):
-            at, found = _among(self.keys, node * self.width + letters[active + length])
-            active, node, length = active[found], self.child[at[found]], length + 1
             whole = self.number[node] >= 0
             steps.append((active[whole], count[active[whole]], node[whole], length))
             count[active[whole]] += 1
             going = active + length < end[active]
             active, node = active[going], node[going]
-        single = np.zeros(len(codes), bool)
-        single[steps[0][0]] = True
-        spelled = np.flatnonzero(~single)
+            at, found = _among(self.keys, node * self.width + letters[active + length])
+            active, node, length = active[found], self.child[at[found]], length + 1
+        spelled = np.flatnonzero(self.number[self.root[letters]] < 0)
         rank = count[spelled]
         count[spelled] += 1
         edges = np.cumsum(count)
@@ -203,7 +205,7 @@ class Lattices:
         before = np.concatenate([[0.0], share])[first[:-1]]
         inner = np.minimum(share - np.repeat(before, sizes), 1.0)
         inner[first[1:] - 1] = 1.0
-        self.logp = self.logp[:base] + array.array("d", log_p.tobytes())
+        np.frombuffer(self.logp, np.float64)[base:] = log_p
         self.bound.frombytes((np.repeat(np.arange(state, state + len(left)), sizes) + inner).tobytes())
         self.fresh = array.array("q")
 
@@ -378,7 +380,7 @@ def sample_texts(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int
     return results
 
 
-def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int = 2, texts_at_once: int = 256) -> DataFrame:
+def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int = 2, texts_at_once: int = 64) -> DataFrame:
     """Up to ``k`` rows per row of ``docs``: the ``carry`` columns, sample (from 1, by perturbed value), n_pieces,
     log_prob, perturbed, inclusion and ids (little-endian unsigned 32-bit).
 
