@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import functools
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -14,6 +15,12 @@ from tokenizers import Tokenizer
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
+# Letters of the Latin script, and how byte-level vocabularies spell bytes: printable ones as themselves,
+# the others as the characters from 256 on, in order.
+LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SPELLED_BYTES = {byte: 256 + place for place, byte in enumerate(byte for byte in range(256) if byte not in PRINTABLE)}
+
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 
@@ -47,6 +54,7 @@ class ChunkIds(dict):
         super().__init__()
         self.library = Tokenizer.from_file(path)
         self.merges = self.library.model
+        self.normal = self.library.normalizer.normalize_str
         self.entries, self.longest = entries, longest
         self.older: dict[str, bytes] = {}
 
@@ -60,7 +68,10 @@ class ChunkIds(dict):
             found = self[chunk[:-1]] + self[chunk[-1]]
         elif chunk.isalpha() and chunk.isascii():
             # One word for the word pattern; the library's merges need no more than its lower case.
-            found = array.array("I", [piece.id for piece in self.merges.tokenize(chunk)]).tobytes() if chunk.islower() else self[chunk.lower()]
+            found = self.merge(chunk) if chunk.islower() else self[chunk.lower()]
+        elif LATIN.fullmatch(chunk) and (plain := self.normal(chunk)).isalpha():
+            # One word as well; the merges work on its bytes, each spelled as one character.
+            found = self.merge(plain.encode().decode("latin-1").translate(SPELLED_BYTES))
         else:
             found = self.encode(chunk)
         if len(self) >= self.entries:  # what is not asked for until the next change is forgotten
@@ -69,6 +80,9 @@ class ChunkIds(dict):
         self[chunk] = found
         return found
 
+    def merge(self, word: str) -> bytes:
+        return array.array("I", [piece.id for piece in self.merges.tokenize(word)]).tobytes()
+
     def encode(self, chunk: str) -> bytes:
         return array.array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
 
