@@ -14,10 +14,13 @@ from salesdw.llm import (
     kmeans_tree,
     line_dedup,
     packing,
+    periodic_runs,
     piece_sampling,
     simhash,
     substring,
+    suffix_dedup,
     toxicity,
+    whitening,
 )
 from salesdw.llm.common import PIECE_TOKENIZER, WORD_TOKENIZER, in_split, tokenizer_path
 from salesdw.staging import Staging
@@ -99,6 +102,43 @@ def kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(vectors, vectors.where("vec_id % 20 = 0"), Staging(spark))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), Staging(spark))
+    n_kept = F.octet_length("kept").cast("bigint")
+    return found.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - n_kept).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(documents(spark, sf_dir).select("doc_id", "text"), loop_by="doc_id")
+    earlier = lambda a, b: (a["length"] > b["length"]) | (
+        (a["length"] == b["length"]) & F.struct(a["start"], a["period"]).__lt__(F.struct(b["start"], b["period"]))
+    )
+    best = F.try_element_at(F.array_sort("runs", lambda a, b: F.when(earlier(a, b), -1).when(earlier(b, a), 1).otherwise(0)), F.lit(1))
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return whitening.whiten(vectors, "embedding", Staging(spark)).select("row.vec_id", "*").drop("row")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
@@ -111,4 +151,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_gumbel_piece_sampling": gumbel_piece_sampling,
         "op9_repair_id_store": repair_id_store,
         "op10_kmeans_tree": kmeans_tree_search,
+        "op11_suffix_array_dedup": suffix_array_dedup,
+        "op12_periodic_runs": periodic_run_detection,
+        "op13_chebyshev_whitening": chebyshev_whitening,
     }
