@@ -43,7 +43,7 @@ class ColumnwiseIndex:
         self.counts = np.bincount(last, minlength=256)
         write(self.files[0], last)
         write(self.files[1], np.zeros(count, np.uint8))
-        places = np.arange(count)
+        places = np.arange(count, dtype=np.int32)
         for length in range(1, int(self.lengths.max(initial=0)) + 1):
             inside = self.lengths[strings] >= length
             strings, places = strings[inside], places[inside]
@@ -52,23 +52,20 @@ class ColumnwiseIndex:
     def _insert(self, places: np.ndarray, before: np.ndarray, count: int) -> np.ndarray:
         """Put in one suffix for each of ``places``, in front of which ``before`` stands; returns the new places."""
         transform, prefixes = map(read, self.files)
-        order = np.argsort(transform, kind="stable")
+        sorted_runs = SortedRuns(transform)
+        rank, left, right = sorted_runs.neighbours(places)
         ended = int(self.counts[END])
-        ranks = ranks_of(transform[places], places, order, self.counts)
-        new_places = ranks - ended + count
-
-        # Neighbours in the new order of which at least one is new.
-        touched = np.zeros(len(order) + 1, bool)
-        touched[ranks] = touched[ranks + 1] = True
-        right = np.flatnonzero(touched[:-1])
-        right = right[right > ended]
-        low, high = order[right - 1], order[right]
-        alike = transform[low] == transform[high]
-        shared = np.zeros(len(right), np.uint8)
-        least = least_between(prefixes, low[alike], high[alike])
-        shared[alike] = np.minimum(least, self.longest - 1) + 1
-
-        size = len(order) - ended + count
+        new_places = rank - ended + count
+
+        # Prefixes shared with the neighbours in the new order, where these start with the same symbol.
+        own = transform[places]
+        pairs = np.concatenate([left, places]), np.concatenate([places, right])
+        spots = np.concatenate([new_places, new_places + 1])
+        alike = np.concatenate([(left >= 0) & (transform[left] == own), (right >= 0) & (transform[right] == own)])
+        least = least_between(prefixes, pairs[0][alike], pairs[1][alike])
+        shared = np.minimum(least, self.longest - 1) + np.uint8(1)
+
+        size = len(transform) - ended + count
         old = np.ones(size, bool)
         old[new_places] = False
         merged = np.empty(size, np.uint8)
@@ -77,7 +74,8 @@ class ColumnwiseIndex:
         write(self.files[0], merged)
         merged[old] = prefixes
         merged[new_places] = 0
-        merged[right - ended + count] = shared
+        merged[spots[~alike & (spots < size)]] = 0
+        merged[spots[alike]] = shared
         write(self.files[1], merged)
         self.counts += np.bincount(before, minlength=256)
         return new_places
@@ -120,17 +118,31 @@ def write(file, values: np.ndarray) -> None:
     file.flush()
 
 
-def ranks_of(symbols: np.ndarray, places: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Where each of ``places`` stands in ``order``, which sorts all places by symbol, then place."""
-    grouped = np.argsort(symbols, kind="stable")
-    groups = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=256))])
-    starts = np.concatenate([[0], np.cumsum(counts)])
-    ranks = np.empty(len(places), np.int64)
-    for symbol in np.flatnonzero(np.diff(groups)):
-        own = grouped[groups[symbol] : groups[symbol + 1]]
-        low, high = starts[symbol], starts[symbol + 1]
-        ranks[own] = low + np.searchsorted(order[low:high], places[own])
-    return ranks
+class SortedRuns:
+    """The places of a transform in order of symbol, then place, held as runs of equal symbols."""
+
+    def __init__(self, transform: np.ndarray):
+        cuts = np.flatnonzero(transform[1:] != transform[:-1])
+        self.starts = np.zeros(len(cuts) + 2, np.int32)
+        np.add(cuts, 1, out=self.starts[1:-1], casting="unsafe")
+        self.starts[-1] = len(transform)
+        self.count = len(cuts) + 1
+        self.order = np.argsort(transform[self.starts[:-1]], kind="stable").astype(np.int32)
+        self.spot = np.empty(self.count, np.int32)
+        self.spot[self.order] = np.arange(self.count, dtype=np.int32)
+        self.rank = np.zeros(self.count + 1, np.int32)
+        np.cumsum(np.diff(self.starts)[self.order], out=self.rank[1:])
+
+    def neighbours(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each place its rank in the order, and the places before and after it there; -1 for none."""
+        run = np.searchsorted(self.starts[:-1], places, "right") - 1
+        spot, inside = self.spot[run], places - self.starts[run]
+        earlier = self.order[np.maximum(spot - 1, 0)]
+        left = np.where(inside > 0, places - 1, np.where(spot > 0, self.starts[earlier + 1] - 1, -1))
+        later = self.order[np.minimum(spot + 1, self.count - 1)]
+        last = np.where(spot + 1 < self.count, self.starts[later], -1)
+        right = np.where(places + 1 < self.starts[run + 1], places + 1, last)
+        return self.rank[spot] + inside, left, right
 
 
 def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -138,8 +150,8 @@ def least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     if not len(low):
         return np.zeros(0, np.uint8)
     # From right to left, so that what lies between two pairs is not read.
-    backwards = np.argsort(-low)
-    bounds = np.empty(2 * len(low), np.int64)
+    backwards = np.argsort(-low, kind="stable")
+    bounds = np.empty(2 * len(low), np.intp)
     bounds[0::2], bounds[1::2] = low[backwards] + 1, high[backwards] + 1
     found = np.minimum.reduceat(np.append(values, np.uint8(255)), bounds)[0::2]
     result = np.empty(len(low), np.uint8)

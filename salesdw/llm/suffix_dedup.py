@@ -144,7 +144,8 @@ def context_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     entry = F.struct("place", "strings", "anchor", "digest", "copies")
     lists = wanted.groupBy(document_name().alias("_key")).agg(F.collect_list(entry).alias("wanted"))
     named = with_text_hash(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    joined = named.select(document_name().alias("_key"), "text").join(lists, "_key").select("text", "wanted")
+    texts = named.select(document_name().alias("_key"), "text")
+    joined = texts.join(lists.hint("shuffle_hash"), "_key").select("text", "wanted")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,8 +269,10 @@ def whole_range(strings: Column) -> Column:
 def with_company(distinct: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
     """Contexts that are the only ones of their anchor and have copies, and those whose anchor has others."""
     ends = distinct.groupBy("anchor").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    marked = staging.put(distinct.join(ends, "anchor").withColumn("lone", F.expr("low = high")).drop("low", "high"), "company")
-    return marked.where("lone AND copies > 1").drop("lone"), marked.where("NOT lone").drop("lone")
+    # Written, so that each join has two shuffles of its own and a hot anchor's side can be split.
+    shared = staging.put(ends.where("low != high").select("anchor"), "shared-anchors")
+    lone = distinct.where("copies > 1").join(shared, "anchor", "left_anti")
+    return lone, distinct.join(shared.hint("shuffle_hash"), "anchor", "left_semi")
 
 
 def repeated_spans(
@@ -278,15 +281,17 @@ def repeated_spans(
     length: int = LENGTH,
     grams: tuple[int, ...] = GRAMS,
     most: int = 4000,
-    block_bytes: int = 1 << 20,
+    block_bytes: int = 1 << 19,
 ) -> DataFrame:
     """doc_id, text_hash, start, length of byte spans to remove; they may overlap. Matched to texts by id and hash."""
     found = staging.put(document_contexts(docs, length, grams[0]), "contexts")
     twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    met = staging.put(found.join(twice, "anchor"), "met-contexts")
+    twice = staging.put(twice, "met-anchors")
+    met = staging.put(found.join(twice.hint("shuffle_hash"), "anchor", "left_semi"), "met-contexts")
     first = F.min(F.struct("doc_id", "text_hash", "place", "strings")).alias("first")
     distinct = met.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), first)
-    lone, several = with_company(distinct.select("anchor", "digest", "copies", "first.*"), staging)
+    distinct = staging.put(distinct.select("anchor", "digest", "copies", "first.*"), "distinct-contexts")
+    lone, several = with_company(distinct, staging)
     texts = staging.put(context_texts(docs, several, length), "context-texts")
     solved = repeated_ranges(texts, staging, length, grams[1:], most, block_bytes)
     ranges = lone.select("anchor", "digest", whole_range(F.col("strings"))).unionByName(solved)
@@ -307,7 +312,7 @@ def without_repeats(docs: DataFrame, staging: Staging, **settings) -> DataFrame:
     kept_row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     rows_of = docs.select(kept_row, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
     keyed = rows_of.withColumn("_key", document_name("row.doc_id", "_hash"))
-    joined = keyed.join(lists, "_key", "left").select("row", "text", "_gone")
+    joined = keyed.join(lists.hint("shuffle_hash"), "_key", "left").select("row", "text", "_gone")
 
     def merged(gone: pa.ListScalar) -> list[tuple[int, int]]:
         if not gone.is_valid:
