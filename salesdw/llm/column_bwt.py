@@ -1,10 +1,10 @@
 """Burrows-Wheeler transform and common prefixes of many short strings, built column by column.
 
-The strings are aligned at their ends. Round j inserts, for every string that is long enough, its suffix of length j:
-one symbol a string. A new suffix stands where the symbol before the last one sorts, so its place follows from
-counting symbols in the transform so far; the prefix it shares with its neighbours is one more than the least common
-prefix between their places in the round before. Transform and prefixes live in two files, read and written from
-front to back once a round.
+Each round inserts one symbol a string, from its last to its first: the suffix that is one longer. Long strings begin
+first, so that all end in the same round and no finished string is carried along. A new suffix stands where the symbol
+put before the last one sorts, so its place follows from counting symbols in the transform so far; the prefix it
+shares with its neighbours is one more than the least common prefix between their places in the round before.
+Transform and prefixes live in two files, read and written from front to back once a round.
 """
 
 from __future__ import annotations
@@ -29,29 +29,39 @@ class ColumnwiseIndex:
             self._build()
             self.transform, self.prefixes = map(read, self.files)
 
-    def _before(self, strings: np.ndarray, length: int) -> np.ndarray:
-        """The symbol in front of each string's suffix of that length."""
-        found = np.zeros(len(strings), np.uint8)
-        inside = self.lengths[strings] > length
-        found[inside] = self.symbols[self.ends[strings[inside]] - length - 1]
+    def _before(self, strings: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The symbol in front of each string's suffix of the given length."""
+        found = np.full(len(strings), END, np.uint8)
+        inside = self.lengths[strings] > lengths
+        found[inside] = self.symbols[self.ends[strings[inside]] - lengths[inside] - 1]
         return found
 
     def _build(self) -> None:
-        count = len(self.lengths)
-        strings = np.arange(count)
-        last = self._before(strings, 0)
-        self.counts = np.bincount(last, minlength=256)
-        write(self.files[0], last)
-        write(self.files[1], np.zeros(count, np.uint8))
-        places = np.arange(count, dtype=np.int32)
-        for length in range(1, int(self.lengths.max(initial=0)) + 1):
-            inside = self.lengths[strings] >= length
-            strings, places = strings[inside], places[inside]
-            places = self._insert(places, self._before(strings, length), count)
-
-    def _insert(self, places: np.ndarray, before: np.ndarray, count: int) -> np.ndarray:
-        """Put in one suffix for each of ``places``, in front of which ``before`` stands; returns the new places."""
+        count, rounds = len(self.lengths), int(self.lengths.max(initial=0))
+        self.counts = np.bincount([END], minlength=256) * count
+        for file in self.files:  # the empty suffixes come first, in order of the strings
+            write(file, np.zeros(count, np.uint8))
+        idle = rounds - self.lengths
+        by_start = np.argsort(idle, kind="stable")
+        bounds = np.searchsorted(idle[by_start], np.arange(rounds + 1))
+        strings, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        for number in range(rounds):
+            starting = by_start[bounds[number] : bounds[number + 1]]
+            strings, places = np.concatenate([strings, starting]), np.concatenate([places, starting])
+            last = self._before(starting, np.zeros(len(starting), np.int64))
+            places = self._insert(places, self._before(strings, number + 1 - idle[strings]), count, starting, last)
+
+    def _insert(
+        self, places: np.ndarray, before: np.ndarray, count: int, starting: np.ndarray, last: np.ndarray
+    ) -> np.ndarray:
+        """Put in one suffix for each of ``places``, in front of which ``before`` stands; returns the new places.
+
+        ``last`` are the last symbols of the strings ``starting``, whose empty suffixes had none in front so far.
+        """
         transform, prefixes = map(read, self.files)
+        transform[starting] = last
+        self.counts += np.bincount(last, minlength=256)
+        self.counts[END] -= len(last)
         sorted_runs = SortedRuns(transform)
         rank, left, right = sorted_runs.neighbours(places)
         ended = int(self.counts[END])
@@ -107,8 +117,11 @@ class ColumnwiseIndex:
 
 
 def read(file) -> np.ndarray:
+    size = file.seek(0, 2)
     file.seek(0)
-    return np.frombuffer(file.read(), np.uint8)
+    values = np.empty(size, np.uint8)
+    file.readinto(values)
+    return values
 
 
 def write(file, values: np.ndarray) -> None:

@@ -281,7 +281,7 @@ def repeated_spans(
     length: int = LENGTH,
     grams: tuple[int, ...] = GRAMS,
     most: int = 4000,
-    block_bytes: int = 1 << 19,
+    block_bytes: int = 1 << 18,
 ) -> DataFrame:
     """doc_id, text_hash, start, length of byte spans to remove; they may overlap. Matched to texts by id and hash."""
     found = staging.put(document_contexts(docs, length, grams[0]), "contexts")
