@@ -2,14 +2,14 @@
 
 Vectors become whole numbers x = floor(64 * c) + 1000000 per entry. The distinct x vectors are the fit list; their number
 n and sums S are exact, so an entry is centred without rounding as (n * x - S) / n. The covariance V (divisor n) is never
-formed: one pass over the staged fit list gives V @ Q for a block Q of a few more columns than components are wanted.
+formed: one pass over the staged fit list gives V @ Q for a block Q of some more columns than components are wanted.
 Each partition multiplies its rows, and sums per dimension meet in one small aggregate.
 
 An iteration takes Rayleigh-Ritz vectors of the block from such a pass. Its residuals |V q - e q| certify it: they are
 at most ``tolerance`` times the largest eigenvalue, or do not fall any more at 100 times that (else it fails). Otherwise a
-Chebyshev polynomial of V, by its three-term recurrence with one pass a degree, damps the spectrum below the block's
-last Ritz value, QR makes the columns orthonormal, and the next iteration begins. The degree follows from the gain
-that is still needed. What reaches the driver is a block of (dimensions x columns) numbers a pass.
+Chebyshev polynomial of V, by its three-term recurrence with one pass a degree, damps the spectrum between a lower
+bound (from a few Lanczos steps) and the block's last Ritz value, QR makes the columns orthonormal, and the next
+iteration begins. The degree follows from the gain that is still needed. What reaches the driver is a block of (dimensions x columns) numbers a pass.
 
 Left out are vectors that are null, empty or hold null or non-finite entries (or
 one of 2^40 and more), and those of another length than most
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from salesdw.staging import Staging
 
 SCALE, SHIFT = 64, 1_000_000
-GUARD_COLUMNS = 16
+GUARD_COLUMNS = 32
 LONGEST_DEGREE = 24
 LARGEST = 2.0**40  # of an entry, so that whole numbers stay exact
 
@@ -109,9 +109,9 @@ def gram_pass(fit: DataFrame, n: int, sums: np.ndarray, block: np.ndarray, proje
     return result / n
 
 
-def chebyshev_filter(apply, block: np.ndarray, applied: np.ndarray, degree: int, bound: float) -> np.ndarray:
-    """A polynomial of V times ``block`` that is small on [0, bound] and grows fast above; ``applied`` is V @ block."""
-    middle = half = bound / 2
+def chebyshev_filter(apply, block: np.ndarray, applied: np.ndarray, degree: int, low: float, high: float) -> np.ndarray:
+    """A polynomial of V times ``block`` that is small on [low, high] and grows fast above; ``applied`` is V @ block."""
+    middle, half = (high + low) / 2, (high - low) / 2
     before, now = block, (applied - middle * block) / half
     for _ in range(degree - 1):
         before, now = now, 2 * (apply(now) - middle * now) / half - before
@@ -121,6 +121,25 @@ def chebyshev_filter(apply, block: np.ndarray, applied: np.ndarray, degree: int,
     return now
 
 
+def lower_end(apply, dimensions: int, steps: int = 6) -> float:
+    """A bound under the spectrum from a few Lanczos steps: the least Ritz value less the last residual, zero at least."""
+    vector = np.random.default_rng(17).standard_normal((dimensions, 1))
+    basis, diagonal, beside = [vector / np.linalg.norm(vector)], [], []
+    for _ in range(min(steps, dimensions)):
+        image = apply(basis[-1])
+        diagonal.append(float((basis[-1].T @ image)[0, 0]))
+        for _ in range(2):
+            for known in basis:
+                image = image - known * float((known.T @ image)[0, 0])
+        beside.append(float(np.linalg.norm(image)))
+        if beside[-1] <= 1e-12 * max(diagonal):
+            break
+        basis.append(image / beside[-1])
+    size = len(diagonal)
+    tridiagonal = np.diag(diagonal) + np.diag(beside[: size - 1], 1) + np.diag(beside[: size - 1], -1)
+    return max(float(np.linalg.eigvalsh(tridiagonal)[0]) - beside[size - 1], 0.0)
+
+
 def fit(distinct: DataFrame, components: int = 16, tolerance: float = 2e-14, iterations: int = 60) -> Whitening | None:
     """Fit on a staged list of different vectors ``x``; None for an empty one."""
     dimensions = distinct.select(F.size("x").alias("d")).first()
@@ -143,6 +162,7 @@ def fit(distinct: DataFrame, components: int = 16, tolerance: float = 2e-14, ite
     trace = total_variance(distinct, n, sums)
     wanted, columns = min(components, d), min(d, components + GUARD_COLUMNS)
     block = np.linalg.qr(np.random.default_rng(13).standard_normal((d, columns)))[0]
+    low = lower_end(apply, d) if columns < d else 0.0
     last = math.inf
     for _ in range(iterations):
         applied = apply(block)
@@ -157,12 +177,11 @@ def fit(distinct: DataFrame, components: int = 16, tolerance: float = 2e-14, ite
             vectors = np.linalg.qr(block)[0][:, :wanted][:, real]
             return Whitening(n, sums, ritz[:wanted][real], vectors, trace, passes, residual)
         last = residual
-        bound = max(float(ritz[-1]), 1e-12 * float(ritz[0]))
-        reach = max(2 * float(ritz[wanted - 1]) / bound - 1, 1 + 1e-9)
-        gain = math.log(reach + math.sqrt(reach * reach - 1))
-        needed = math.log(residual / tolerance) / gain
-        degree = int(min(max(needed, 4), LONGEST_DEGREE))
-        block = np.linalg.qr(chebyshev_filter(apply, block, applied, degree, bound))[0]
+        high = max(float(ritz[-1]), low + 1e-9 * float(ritz[0]))
+        reach = max((2 * float(ritz[wanted - 1]) - high - low) / (high - low), 1 + 1e-9)
+        needed = math.log(residual / tolerance) / math.log(reach + math.sqrt(reach * reach - 1))
+        degree = int(min(max(math.ceil(needed), 3), LONGEST_DEGREE))
+        block = np.linalg.qr(chebyshev_filter(apply, block, applied, degree, low, high))[0]
     raise NotCertified(f"residual {residual:.1e} after {passes} passes")
 
 

@@ -80,11 +80,20 @@ def test_small_tables(spark, staging):
 
 def test_filter_damps_the_lower_spectrum():
     values = np.array([10.0, 9.0, 3.0, 2.0, 0.5, 0.0])
-    damped = whitening.chebyshev_filter(lambda b: values[:, None] * b, np.eye(6), np.diag(values), 9, 3.0)
+    damped = whitening.chebyshev_filter(lambda b: values[:, None] * b, np.eye(6), np.diag(values), 9, 0.0, 3.0)
     size = np.abs(np.diag(damped))
     assert (size[2:] <= 1 + 1e-9).all() and size[1] > 1e5 and size[0] > size[1]
 
 
+def test_lower_end_is_below_the_spectrum():
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 5, 40):
+        turn = np.linalg.qr(rng.normal(size=(size, size)))[0]
+        values = rng.uniform(2, 9, size)
+        matrix = turn * values @ turn.T
+        assert 0 <= whitening.lower_end(lambda b: matrix @ b, size) <= values.min() + 0.5
+
+
 def test_deviation_beyond_a_long_fails():
     assert whitening.exact_squares(np.array([[3, -4]])).tolist() == [25]
     with pytest.raises(OverflowError):
