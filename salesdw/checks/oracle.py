@@ -386,7 +386,8 @@ def all_sql() -> dict[str, str]:
         "schema_report": _schema_report(),
         "distinct_1col": _cleaned("SELECT DISTINCT status FROM cleaned"),
         "distinct_ncol": _cleaned("SELECT DISTINCT created_at, year, month, fy FROM cleaned"),
-        "row_id": "SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS first_id, TRUE AS ids_unique FROM lineitem",
+        "row_id": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() OVER (ORDER BY "
+        "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS place FROM lineitem",
         "forward_fill_dates": _messy(
             f"SELECT {_ORDER}, last_value({_DAY} IGNORE NULLS) OVER (ORDER BY {_ORDER} ROWS UNBOUNDED PRECEDING) "
             "AS created_at FROM ren"
@@ -417,6 +418,7 @@ def all_sql() -> dict[str, str]:
         "clean_sales_typed_dates": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_all_text": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_scan_order": _cleaned("SELECT * FROM cleaned"),
+        "clean_sales_csv_order": _cleaned("SELECT * FROM cleaned"),
         "preview_limit": "SELECT 'rows' AS what, CAST(5 AS BIGINT) AS n UNION ALL SELECT 'foreign', 0",
         "clean_sales_basic": f"WITH {_cleaned_ctes(final=False)}\nSELECT * FROM cleaned",
         "monthly_sales": _cleaned(

@@ -9,6 +9,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesdw import functions as X
 from salesdw.checks.fixtures import ORDER, RAW_COLUMNS, ROW_ID, messy_sales, raw_sales, read_table
@@ -63,7 +64,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _cleaned:
         staging = Staging(spark)
         result = clean.clean_sales(raw_sales(spark, sf_dir), staging, row_id=ROW_ID, keep_row_id=True)
-        _cleaned[key] = staging.put(tables.sort_for_write(result, "created_at", clean.ROW_ID), "cleaned")
+        _cleaned[key] = staging.put(tables.sort_for_write(result, "created_at", clean.ROW_ID, staging), "cleaned")
     return _cleaned[key]
 
 
@@ -159,7 +160,10 @@ def dropna_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = rows.drop_duplicate_rows(raw_sales(spark, sf_dir).select(*RAW_COLUMNS))
+    """The form that the cleaning plan runs, on the staged raw rows with their hashes."""
+    staging = Staging(spark)
+    hashed = raw_sales(spark, sf_dir).withColumn("row_hash", rows.row_hash(RAW_COLUMNS))
+    kept = rows.first_of_copies(staging.put(hashed, "hashed"), RAW_COLUMNS, ROW_ID, "row_hash", staging)
     return kept.select("item_id", "status", "created_at", "sku", "increment_id", "qty_ordered", "grand_total")
 
 
@@ -352,16 +356,15 @@ def distinct_ncol(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids given at the scan: their first value, and whether each partition holds a gapless run of them."""
-    ids = ordering.scan_row_ids(read_table(spark, sf_dir, "lineitem"), "id")
-    part = F.shiftright(F.col("id") - 1, ordering.POSITION_BITS)
-    runs = ids.groupBy(part.alias("part")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
-    )
-    gapless = F.col("high") - F.col("low") + 1 == F.col("n")
-    return runs.agg(
-        F.sum("n").alias("row_count"), F.min("low").alias("first_id"), F.bool_and(gapless).alias("ids_unique")
-    )
+    """Each row of files that were written in order, with its place by the ids given at the scan."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    staging = Staging(spark)
+    path = f"{staging.path}/ordered-lines"
+    lines = read_table(spark, sf_dir, "lineitem").select(*keys)
+    lines.repartitionByRange(8, *keys).sortWithinPartitions(*keys).write.option("header", True).csv(path)
+    read = files.read_sales(spark, path, schema=lines.schema)
+    ids = ordering.file_row_ids(read, "id", staging)
+    return ordering.number_rows(ids, ["id"], "place", staging).drop("id")
 
 
 def forward_fill_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,6 +562,23 @@ def clean_sales_scan_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(files.read_sales(spark, path, "parquet").drop("piece"), staging)
 
 
+def clean_sales_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from text files of several splits each, without a row id."""
+    staging = Staging(spark)
+    path = f"{staging.path}/sales"
+    ordered = raw_sales(spark, sf_dir).repartitionByRange(3, ROW_ID).sortWithinPartitions(ROW_ID).drop(ROW_ID)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered.write.options(header=True, **spaces).csv(path)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        cleaned = staging.put(clean.clean_sales(files.read_sales(spark, path, schema=text), staging), "cleaned")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return cleaned
+
+
 def clean_sales_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(raw_sales(spark, sf_dir), Staging(spark), clean.EXPLORATION, row_id=ROW_ID)
 
@@ -650,6 +670,7 @@ def all_queries() -> dict[str, Query]:
         clean_sales_typed_dates,
         clean_sales_all_text,
         clean_sales_scan_order,
+        clean_sales_csv_order,
         clean_sales_basic,
         monthly_sales,
     ]

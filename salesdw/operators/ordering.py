@@ -29,20 +29,22 @@ def scan_row_ids(df: DataFrame, name: str) -> DataFrame:
 def file_row_ids(df: DataFrame, name: str, staging: Staging) -> DataFrame:
     """Unique ids that rise in source order, gaps allowed: files by path, then rows by their place in the file.
 
-    Spark deals out file splits by size, so ids of the scan keep the source order inside a split only. The distinct
-    splits are therefore ranked by path and start, and the rank is the id's high part; a pass over the files without
-    their columns finds them. Apply directly on a scan; rows that come from no files get ids in scan order.
+    Spark deals out file splits by size, so ids of the scan keep the source order inside a split only. The rows are
+    scanned once and staged with their split's path and start; the distinct splits of that table are ranked by both, and
+    the rank is the id's high part. So neither a later scan's other splits nor a lost task can part rows from their
+    rank. Apply directly on a scan; rows that come from no files get ids in scan order.
     """
     split = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")]
     try:
-        splits = df.select(*split).distinct()
+        placed = df.select("*", *split, F.monotonically_increasing_id().alias("_place"))
     except AnalysisException:
-        return scan_row_ids(df, name)
+        return staging.put(scan_row_ids(df, name), "scanned")
+    placed = staging.put(placed, "scanned")
+    splits = placed.select("_path", "_start").distinct()
     ranks = staging.put(number_rows(splits, ["_path", "_start"], "_split", staging), "splits")
-    placed = df.select("*", *split, F.monotonically_increasing_id().alias("_place"))
     position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    ranked = placed.join(broadcast_if_small(ranks), ["_path", "_start"])
-    return ranked.select(*[df[column] for column in df.columns], (F.shiftleft("_split", POSITION_BITS) + position).alias(name))
+    row_id = (F.shiftleft("_split", POSITION_BITS) + position).alias(name)
+    return placed.join(broadcast_if_small(ranks), ["_path", "_start"]).select(*[placed[f"`{c}`"] for c in df.columns], row_id)
 
 
 def sorted_row_ids(df: DataFrame, keys: list, name: str) -> DataFrame:
@@ -74,6 +76,20 @@ def number_rows(df: DataFrame, keys: list, name: str, staging: Staging) -> DataF
     )
 
 
+def sum_before(df: DataFrame, keys: list, value: str, name: str, staging: Staging) -> DataFrame:
+    """The sum of ``value`` over the rows before each row in key order (0 for the first), sorted in parallel."""
+    placed = staging.put(sorted_row_ids(df, keys, "_place"), f"placed-{name}")
+    placed = placed.withColumn("_part", F.shiftright(F.col("_place") - 1, POSITION_BITS))
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per sort partition.
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier"))
+    within = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(value).over(within), F.lit(0))
+    summed = placed.withColumn(name, inside).join(F.broadcast(offsets), "_part")
+    return summed.withColumn(name, F.col(name) + F.col("_earlier")).drop("_part", "_place", "_earlier")
+
+
 def dense_rank_rows(df: DataFrame, keys: list[str], name: str, staging: Staging) -> DataFrame:
     """``dense_rank() over (order by keys)``: only the distinct keys are sorted, then looked up."""
     ranks = number_rows(df.select(*keys).distinct(), keys, name, staging)

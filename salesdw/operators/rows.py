@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdw.functions import lenient_int
@@ -27,22 +27,30 @@ def drop_duplicate_rows(df: DataFrame, row_id: str | None = None) -> DataFrame:
     return df.groupBy(*data).agg(F.min(row_id).alias(row_id))
 
 
-def mark_copies(df: DataFrame, row_id: str, name: str, staging: Staging) -> DataFrame | None:
-    """Add the boolean ``name``: may the row be equal to another one in all columns but ``row_id``?
+def row_hash(columns: list[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{column}`") for column in columns])
 
-    Only row hashes are shuffled. All copies are marked (and, rarely, a row whose hash another row
-    shares), so the marked rows need an exact comparison and the others none. Returns None where the
-    repeated hashes are too many to broadcast.
+
+def first_of_copies(df: DataFrame, data: list[str], row_id: str, row_hash: str, staging: Staging) -> DataFrame:
+    """``df`` with one row, that of the lowest ``row_id``, of each group of rows equal in all ``data`` columns.
+
+    ``df`` is a staged table and ``row_hash`` its column with the hash of ``data``; other columns follow from ``data``.
+    Only hashes are counted over all rows. Rows whose hash repeats, all copies among them, are compared exactly and
+    staged beside; the others are read from where they are. Repeated hashes beyond the broadcast bound are matched by a
+    shuffle, whose result is staged too, so that later readers do not repeat it.
     """
-    data = [column for column in df.columns if column != row_id]
-    row_hash = F.xxhash64(*[F.col(f"`{column}`") for column in data])
-    counts = df.select(row_hash.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"))
-    repeated = staging.put(counts.filter("_copies > 1").select("_hash"), "repeated-hashes")
-    if not fits_broadcast(repeated):
-        return None
-    known = F.broadcast(repeated.withColumn(name, F.lit(True)))
-    marked = df.withColumn("_hash", row_hash).join(known, "_hash", "left").drop("_hash")
-    return marked.withColumn(name, F.coalesce(name, F.lit(False)))
+    counts = df.groupBy(row_hash).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = staging.put(counts.filter("_copies > 1").select(row_hash), "repeated-hashes")
+    small = fits_broadcast(repeated)
+    side = F.broadcast(repeated) if small else repeated
+    others = [name for name in df.columns if name not in (*data, row_id)]
+    copies = df.join(side, row_hash, "left_semi").groupBy(*[F.col(f"`{name}`") for name in data])
+    distinct = copies.agg(F.min(row_id).alias(row_id), *[F.any_value(F.col(f"`{name}`")).alias(name) for name in others])
+    distinct = staging.put(distinct.select(*[f"`{name}`" for name in df.columns]), "distinct-copies")
+    single = df.join(side, row_hash, "left_anti")
+    if not small:
+        single = staging.put(single, "single-rows")
+    return single.select(*[f"`{name}`" for name in df.columns]).unionByName(distinct)
 
 
 def keep_castable(df: DataFrame, column: str) -> DataFrame:

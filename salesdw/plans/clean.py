@@ -21,7 +21,7 @@ from salesdw import functions as X
 from salesdw.operators.aggregates import mode_value
 from salesdw.operators.joins import fits_broadcast
 from salesdw.operators.ordering import file_row_ids, forward_fill, number_rows
-from salesdw.operators.rows import drop_duplicate_rows, drop_empty_rows, mark_copies
+from salesdw.operators.rows import drop_empty_rows, first_of_copies, row_hash
 from salesdw.schema import CLEANED_COLUMNS, NOT_AVAILABLE, RENAMES, TEST_SKUS, UNUSED_COLUMNS
 from salesdw.sources.tables import overwrite_table, sort_for_write
 from salesdw.staging import Staging
@@ -58,21 +58,18 @@ EXPLORATION = CleaningRules(
 
 
 def source_rows(raw: DataFrame, staging: Staging, row_id: str | None = None) -> DataFrame:
-    """Distinct non-empty raw rows, wanted columns only, numbered in source order, staged.
+    """Distinct non-empty raw rows, wanted columns only, numbered in source order; the raw source is read once.
 
     ``row_id`` names a BIGINT column that gives the source order; without it files count in the order of their paths.
     Of equal rows the first is kept. Full rows are shuffled only where they may have a copy.
     """
     data = [name for name in raw.columns if name != row_id]
-    rows = file_row_ids(raw, ROW_ID, staging) if row_id is None else raw.withColumnRenamed(row_id, ROW_ID)
-    rows = drop_empty_rows(rows, data)
-    marked = mark_copies(rows, ROW_ID, "_copied", staging)
-    if marked is None:
-        return _tidy(staging.put(_prepared(drop_duplicate_rows(rows, ROW_ID)), "source-rows"))
-    marked = staging.put(_prepared(marked), "marked-rows")
-    distinct = drop_duplicate_rows(marked.filter("_copied").select(*data, ROW_ID), ROW_ID)
-    distinct = _prepared(distinct.withColumn("_copied", F.lit(False))).select(*marked.columns)
-    return _tidy(staging.put_beside(distinct, "distinct-copies", "marked-rows").filter("NOT _copied"))
+    rows = _prepared(drop_empty_rows(raw, data)).withColumn("_hash", row_hash(data))
+    if row_id is None:
+        rows = file_row_ids(rows, ROW_ID, staging)
+    else:
+        rows = staging.put(rows.withColumnRenamed(row_id, ROW_ID), "scanned")
+    return _tidy(first_of_copies(rows, data, ROW_ID, "_hash", staging))
 
 
 def product_map(rows: DataFrame, staging: Staging, rules: CleaningRules = FINAL) -> DataFrame:
@@ -174,7 +171,7 @@ def load_cleaned(
     """Clean and write the cleaned table, sorted by date for the incremental reads."""
     with Staging(raw.sparkSession) as staging:
         cleaned = clean_sales(raw, staging, rules, row_id, keep_row_id=True)
-        overwrite_table(sort_for_write(cleaned, "created_at", ROW_ID), table)
+        overwrite_table(sort_for_write(cleaned, "created_at", ROW_ID, staging), table)
 
 
 def _prepared(rows: DataFrame) -> DataFrame:
@@ -185,7 +182,7 @@ def _prepared(rows: DataFrame) -> DataFrame:
 
 
 def _tidy(rows: DataFrame) -> DataFrame:
-    rows = rows.drop(*UNUSED_COLUMNS, "_copied").withColumnsRenamed(RENAMES)
+    rows = rows.drop(*UNUSED_COLUMNS, "_hash").withColumnsRenamed(RENAMES)
     return rows.withColumn("created_at", F.col("_date")).drop("_date")
 
 

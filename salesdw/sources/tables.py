@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from salesdw.operators.joins import broadcast_if_small
+from salesdw.operators.ordering import sum_before
+from salesdw.staging import Staging
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -14,9 +19,20 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
-def sort_for_write(df: DataFrame, key: str, tie_breaker: str) -> DataFrame:
-    """Range-partition and sort by ``key`` so that readers skip files and row groups by it.
+def sort_for_write(df: DataFrame, key: str, row_id: str, staging: Staging, partitions: int | None = None) -> DataFrame:
+    """Order by ``key`` in partitions of consecutive keys, so that readers skip files and row groups by it.
 
-    ``tie_breaker`` (unique, dropped afterwards) lets one hot key value spread over several partitions.
+    The rows of each key are counted first, for which only the key's own columns are computed; running sums of these
+    counts say which partitions a key belongs to, so the full rows are computed once, for the shuffle itself. A key
+    with more rows than a partition takes is dealt over several by the hash of ``row_id``, which is dropped afterwards.
     """
-    return df.repartitionByRange(key, tie_breaker).sortWithinPartitions(key, tie_breaker).drop(tie_breaker)
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = staging.put(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
+    share = F.ceil(counts.agg(F.greatest(F.sum("_rows"), F.lit(1))).scalar() / parts)
+    placed = sum_before(counts, ["_key"], "_rows", "_before", staging)
+    first = F.floor(F.col("_before") / share)
+    last = F.floor((F.col("_before") + F.col("_rows") - 1) / share)
+    spans = staging.put(placed.select("_key", first.alias("_first"), (last - first + 1).alias("_span")), "key-spans")
+    joined = df.join(broadcast_if_small(spans), F.col(key).eqNullSafe(F.col("_key")), "left")
+    part = (F.col("_first") + F.pmod(F.xxhash64(row_id), F.col("_span"))).cast("int")
+    return joined.repartitionById(parts, part).sortWithinPartitions(key, row_id).drop("_key", "_first", "_span", row_id)

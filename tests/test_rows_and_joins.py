@@ -17,16 +17,23 @@ def test_empty_and_duplicate_rows(spark):
     assert rows_of(rows.drop_duplicate_rows(numbered, "r")) == [(1, "a", 3), (None, "b", 4)]
 
 
-def test_mark_copies(spark, staging):
+@pytest.mark.parametrize("small", [True, False])
+def test_first_of_copies(spark, staging, monkeypatch, small):
+    """Copies are compared in all columns, also where different rows have one hash; extra columns come along."""
+    monkeypatch.setattr(rows, "fits_broadcast", lambda df: small)
+    df = spark.range(1000).select(
+        (F.col("id") % 700).alias("a"), F.lit("x").alias("b c"), F.col("id").alias("r"), (F.col("id") % 5).alias("hash")
+    ).withColumn("twice", F.col("a") * 2)
+    kept = rows.first_of_copies(staging.put(df, "t"), ["a", "b c"], "r", "hash", staging)
+    assert kept.columns == df.columns
+    assert rows_of(kept) == [(i, "x", i, i % 5, 2 * i) for i in sorted(range(700), key=lambda i: repr((i, "x", i, i % 5, 2 * i)))]
+
+
+def test_first_of_copies_moves_hashes_only(spark, staging):
     df = spark.range(1000).select((F.col("id") % 700).alias("a"), F.lit("x").alias("b"), F.col("id").alias("r"))
-    marked = rows.mark_copies(df, "r", "copied", staging)
-    assert marked.filter("copied").count() == 600
-    assert marked.filter("copied").select("a").distinct().count() == 300
-
-
-def test_mark_copies_gives_up_beyond_the_bound(spark, staging, monkeypatch):
-    monkeypatch.setattr(rows, "fits_broadcast", lambda df: False)
-    assert rows.mark_copies(spark.range(10).withColumn("r", F.col("id")), "r", "copied", staging) is None
+    hashed = staging.put(df.withColumn("hash", rows.row_hash(["a", "b"])), "t")
+    plan = rows.first_of_copies(hashed, ["a", "b"], "r", "hash", staging)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
 
 
 def test_null_never_matches_a_list(spark):
