@@ -135,10 +135,11 @@ def _stable(spec: Dimension, batch: str = "0", name: str = "dim") -> str:
 
 def _rekeyed(spec: Dimension) -> str:
     fields = ", ".join([spec.key, *spec.attributes])
+    order = ", ".join(f"{name} NULLS FIRST" for name in [spec.key, *spec.attributes])
     return f""",
 members AS (SELECT DISTINCT {_source(spec)}, {_batch(list(BATCHES))} AS batch FROM cleaned),
 keyed AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY batch ORDER BY {spec.key} NULLS FIRST) AS INTEGER) AS k,
+  SELECT *, CAST(row_number() OVER (PARTITION BY batch ORDER BY {order}) AS INTEGER) AS k,
     max(batch) OVER (PARTITION BY {spec.key}) AS last_batch
   FROM members WHERE batch IS NOT NULL
 ),
@@ -216,6 +217,37 @@ def _incremental(runs: int, rekey: bool = False) -> str:
     )
 
 
+def _overlapping(runs: int) -> str:
+    """Windows that start on the last day of the one before, so that day's rows count in two batches."""
+    windows = [(YEARLY.first_start, YEARLY.first_end), (YEARLY.second_start, YEARLY.second_end)]
+    while len(windows) < runs:
+        windows.append((windows[-1][1], windows[-1][1] + timedelta(days=YEARLY.step_days)))
+    days = ", ".join(f"({n}, DATE '{start}', DATE '{end}')" for n, (start, end) in enumerate(windows))
+    spread = f""",
+spread AS (
+  SELECT c.*, w.n AS window_no FROM cleaned c
+  JOIN (VALUES {days}) w(n, low, high) ON c.created_at BETWEEN w.low AND w.high
+)"""
+    facts = _fact_ctes("window_no", typed=True).replace("FROM cleaned", "FROM spread")
+    return _cleaned(f"SELECT {_FACT_COLUMNS}, CAST(batch AS BIGINT) AS batch_id FROM fact", spread + facts)
+
+
+def _rejects() -> str:
+    """Facts of one batch with dear prices; a price of 100 million or more is a reject."""
+    dear = "CASE WHEN item_id_new % 7 = 0 THEN price * 1e6 ELSE price END"
+    # The dimensions do not look at prices.
+    ctes = _fact_ctes(_WHOLE, typed=False).replace(f"SELECT *, {_WHOLE} AS batch FROM cleaned) c", f"SELECT * REPLACE ({dear} AS price), {_WHOLE} AS batch FROM cleaned) c")
+    unfit = "round(price, 2) >= 1e8"
+    money = [f"CASE WHEN {unfit} THEN CAST({m} AS DOUBLE) ELSE CAST(CAST({m} AS DECIMAL(10,2)) AS DOUBLE) END AS {m}" for m in ("grand_total", "discount_amount", "mv")]
+    keys = [f"CAST({spec.surrogate} AS DOUBLE) AS {spec.surrogate}" for spec in DIMENSIONS]
+    price = f"CASE WHEN {unfit} THEN price ELSE CAST(TRY_CAST(price AS DECIMAL(10,2)) AS DOUBLE) END AS price"
+    return _cleaned(
+        f"SELECT {price}, CAST(qty_ordered AS DOUBLE) AS qty_ordered, {', '.join([*money, *keys])}, "
+        f"CASE WHEN {unfit} THEN 'price does not fit' ELSE '' END AS reason FROM fact",
+        ctes,
+    )
+
+
 _HISTORY = """history AS (
   SELECT DISTINCT CAST(year(o_orderdate) - 1994 AS BIGINT) AS id, make_date(year(o_orderdate), 1, 1) AS start_date,
     make_date(year(o_orderdate), 12, 31) AS incremental_date
@@ -230,11 +262,27 @@ def _next(shift: int) -> str:
     )
 
 
+# The tables' columns, written by hand from the definition of the warehouse.
+_DECLARED = """
+incremental_value_storage: id bigint, start_date date, incremental_date date
+dimproducts: item_id int, sku string, category string, DimProductKey int
+dimdate: created_at date, year int, month int, fy string, DimDateKey int
+dimstatus: status string, DimStatusKey int
+dimpaymentmethod: payment_method string, DimMethodKey int
+dimbistatus: bi_status string, DimBiStatusKey int
+dimcustomer: customer_id int, customer_since string, DimCustomerKey int
+factsalestable: price decimal(10,2), qty_ordered int, grand_total decimal(10,2), discount_amount decimal(10,2),
+ mv decimal(10,2), DimProductKey int, DimDateKey int, DimStatusKey int, DimMethodKey int, DimBiStatusKey int,
+ DimCustomerKey int
+"""
+
+
 def _bootstrap() -> str:
+    declared = [line.split(": ") for line in _DECLARED.strip().replace(",\n", ",").split("\n")]
     columns = ", ".join(
-        f"('{table}', '{field.name}', '{field.dataType.simpleString()}')"
-        for table, schema in TABLES.items()
-        for field in schema
+        f"('{table}', '{name}', '{kind}')"
+        for table, fields in declared
+        for name, kind in (field.split() for field in fields.split(", "))
     )
     counts = " UNION ALL ".join(
         f"SELECT '{table}', count(*) FROM {table}" for table in [*[spec.table for spec in DIMENSIONS]]
@@ -297,6 +345,14 @@ def all_sql() -> dict[str, str]:
             "customer_id, CAST(discount_amount AS INTEGER) AS discount_amount, "
             "CAST(increment_id AS INTEGER) AS increment_id FROM ren"
         ),
+        "src_csv_malformed": (
+            "SELECT CASE WHEN b IS NULL THEN l_orderkey END AS l_orderkey, CASE WHEN b IS NULL THEN l_linenumber END AS "
+            "l_linenumber, CASE WHEN b IS NULL THEN l_returnflag END AS l_returnflag, b AS record, TRUE AS placed FROM ("
+            "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag, "
+            "CASE WHEN l_orderkey % 97 = 1 THEN l_orderkey || ',' || l_linenumber "
+            "WHEN l_orderkey % 89 = 2 THEN l_orderkey || ',' || l_linenumber || ',' || l_returnflag || ',more' "
+            "WHEN l_orderkey % 83 = 3 THEN 'x' || l_orderkey || ',' || l_linenumber || ',' || l_returnflag END AS b FROM lineitem)"
+        ),
         "scan_table": _cleaned("SELECT * FROM cleaned"),
         "sorted_write": _cleaned("SELECT * FROM cleaned"),
         "sink_overwrite_roundtrip": _cleaned("SELECT customer_id, created_at, grand_total FROM cleaned"),
@@ -347,6 +403,7 @@ def all_sql() -> dict[str, str]:
         "filter_uncastable": _messy(f"SELECT {_PLACE}, item_id FROM ren WHERE {_LENIENT.format('item_id')} IS NULL"),
         "filter_not_null": _messy(f"SELECT {_PLACE}, customer_id FROM ren WHERE customer_id IS NOT NULL"),
         "inspect_null_rows": _messy(f"SELECT {', '.join(INSPECTED)} FROM ren WHERE customer_id IS NULL"),
+        "inspect_null_year": _messy("SELECT year, month, fy, customer_since, customer_id FROM ren WHERE year IS NULL"),
         "filter_not_in": _messy(
             f"SELECT {_PLACE}, coalesce(sku, 'N/A') AS sku FROM ren "
             "WHERE coalesce(sku, 'N/A') NOT IN ('test-product', 'test-product-00', 'test_tcsconnect')"
@@ -410,6 +467,7 @@ def all_sql() -> dict[str, str]:
         "fact_append": _cleaned(
             f"SELECT {_FACT_COLUMNS}, CAST(batch AS BIGINT) AS batch_id FROM fact", _fact_ctes(_WHOLE, typed=True)
         ),
+        "fact_append_rejects": _rejects(),
         "report_fact_by_date": _cleaned(
             f"SELECT {_FACT_COLUMNS}, d.* EXCLUDE (DimDateKey) FROM fact JOIN dimdate d USING (DimDateKey)",
             _fact_ctes(_WHOLE, typed=True),
@@ -419,7 +477,10 @@ def all_sql() -> dict[str, str]:
         "clean_sales_all_text": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_scan_order": _cleaned("SELECT * FROM cleaned"),
         "clean_sales_csv_order": _cleaned("SELECT * FROM cleaned"),
-        "preview_limit": "SELECT 'rows' AS what, CAST(5 AS BIGINT) AS n UNION ALL SELECT 'foreign', 0",
+        "preview_limit": _cleaned(
+            "SELECT 'rows' AS what, count(*) AS n FROM (SELECT * FROM cleaned LIMIT 5) UNION ALL SELECT 'foreign', "
+            "count(*) FROM (SELECT * FROM (SELECT * FROM cleaned LIMIT 5) EXCEPT ALL SELECT * FROM cleaned)"
+        ),
         "clean_sales_basic": f"WITH {_cleaned_ctes(final=False)}\nSELECT * FROM cleaned",
         "monthly_sales": _cleaned(
             "SELECT CAST(date_trunc('month', created_at) AS DATE) AS sales_month, status, count(*) AS row_count, "
@@ -432,11 +493,13 @@ def all_sql() -> dict[str, str]:
         sql[f"view_dim_{spec.name}"] = _view(spec)
         sql[f"lookup_{spec.name}"] = _lookup_sql(spec)
         sql[f"scd1_{spec.name}"] = _cleaned(f"SELECT {fields} FROM dim", _stable(spec, _batch(list(BATCHES))))
-        if spec.name != "date":
-            sql[f"scd1_{spec.name}_rekey"] = _cleaned(f"SELECT {fields} FROM dim", _rekeyed(spec))
+        sql[f"scd1_{spec.name}_rekey"] = _cleaned(f"SELECT {fields} FROM dim", _rekeyed(spec))
     for runs in (1, 2, 3):
         sql[f"incremental_run_{runs}"] = _incremental(runs)
     sql["incremental_run_2_rekey"] = sql["incremental_rerun_rekey"] = _incremental(2, rekey=True)
     sql["incremental_rerun"] = sql["incremental_run_2"]
+    sql["incremental_rerun_lost_driver"] = sql["incremental_run_3"]
+    sql["incremental_rerun_lost_driver_rekey"] = _incremental(3, rekey=True)
+    sql["incremental_overlap_3"] = _overlapping(3)
     sql["named_views"] = _named_views()
     return sql

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,18 +14,23 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 _BYTES_PER_VALUE = 16
 
 
+DUPLICATE_KEYS = "several source rows match one target row on"
+
+
 class DuplicateSourceKeys(ValueError):
     """Several source rows of an upsert match the same target row."""
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``: a fixed width per value plus the true length of all text. Use on staged tables."""
+def value_bytes(df: DataFrame) -> Column:
+    """The size of a table as an aggregate: a fixed width per value plus the true length of all text."""
     texts = [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
     lengths = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0)) for name in texts]
-    size = F.count(F.lit(1)) * (_BYTES_PER_VALUE * len(df.columns))
-    for length in lengths:
-        size = size + length
-    return df.agg(size.alias("size")).first()["size"] <= max_bytes
+    return reduce(lambda size, length: size + length, lengths, F.count(F.lit(1)) * (_BYTES_PER_VALUE * len(df.columns)))
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure ``df``; use on staged tables."""
+    return df.agg(value_bytes(df).alias("size")).first()["size"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -34,13 +42,28 @@ def key_match(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
 
-def lookup_keys(dimension: DataFrame, key: str, surrogate: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The two columns of a dimension that a lookup needs, marked for broadcast if measured small."""
-    return broadcast_if_small(dimension.select(F.col(key).alias("_key"), F.col(surrogate)), max_bytes)
+def broadcast_together(sides: Sequence[DataFrame], max_bytes: int = BROADCAST_BYTES) -> list[tuple[int, DataFrame]]:
+    """(place, side) of all ``sides`` of one plan in the order in which to join them, those to broadcast marked and first.
+
+    One job measures all of them. Every executor holds the broadcast sides together, so their sum keeps to the bound:
+    the smallest ones are taken, which are the most that fit. The others follow from small to large.
+    """
+    parts = [side.agg(value_bytes(side).alias("size")).select(F.lit(place).alias("place"), "size") for place, side in enumerate(sides)]
+    measured = sorted((row["size"], row["place"]) for row in reduce(DataFrame.unionByName, parts).collect())  # a row a side
+    ordered, total = [], 0
+    for size, place in measured:
+        total += size
+        ordered.append((place, F.broadcast(sides[place]) if total <= max_bytes else sides[place]))
+    return ordered
+
+
+def lookup_keys(dimension: DataFrame, key: str, surrogate: str) -> DataFrame:
+    """The two columns of a dimension that a lookup needs."""
+    return dimension.select(F.col(key).alias("_key"), F.col(surrogate))
 
 
 def lookup(rows: DataFrame, keys: DataFrame, row_key: str, null_safe: bool = True) -> DataFrame:
-    """Left join that adds the surrogate key to ``rows``; ``keys`` comes from ``lookup_keys``."""
+    """Left join that adds the surrogate key to ``rows``; ``keys`` comes from ``lookup_keys``, marked for broadcast or not."""
     return rows.join(keys, key_match(rows[row_key], keys["_key"], null_safe), "left").drop("_key")
 
 
@@ -54,19 +77,16 @@ def fill_from_group(df: DataFrame, column: str, key: str, values: DataFrame, val
 def merge_upsert(target: DataFrame, source: DataFrame, key: str, null_safe: bool = False) -> DataFrame:
     """MERGE with "update all" on a match and "insert all" otherwise; columns are matched by name.
 
-    Raises ``DuplicateSourceKeys`` when a target row matches several source rows. Without ``null_safe``
-    a null key matches nothing, so it stays on both sides.
+    The job fails when a target row matches several source rows (see ``DUPLICATE_KEYS``). The rows of a source key are
+    counted where the join needs them anyway, so each side is read and shuffled once. Without ``null_safe`` a null key
+    matches nothing, so it stays on both sides.
     """
-    repeated = source.groupBy(key).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").select(key)
-    clash = repeated.alias("s").join(
-        target.select(key).alias("t"), key_match(F.col(f"s.{key}"), F.col(f"t.{key}"), null_safe), "left_semi"
-    )
-    if not clash.isEmpty():
-        raise DuplicateSourceKeys(f"several source rows match one target row on {key}")
     left = target.withColumn("_in_target", F.lit(True)).alias("t")
-    right = source.withColumn("_in_source", F.lit(True)).alias("s")
+    right = source.select("*", F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_copies"), F.lit(True).alias("_in_source")).alias("s")
     joined = left.join(right, key_match(F.col(f"t.{key}"), F.col(f"s.{key}"), null_safe), "full_outer")
+    clash = F.col("_in_target") & F.col("_in_source") & (F.col("_copies") > 1)
+    checked = joined.where(F.when(clash, F.raise_error(F.lit(f"{DUPLICATE_KEYS} {key}")).cast("boolean")).otherwise(F.lit(True)))
     updated = F.col("_in_source").isNotNull()
-    return joined.select(
+    return checked.select(
         *[F.when(updated, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name) for name in target.columns]
     )

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesdw.operators.joins import broadcast_if_small, lookup, lookup_keys
+from salesdw.operators.joins import broadcast_if_small, broadcast_together, lookup, lookup_keys
 from salesdw.schema import DIMENSIONS, FACT_TABLE, TABLES
-from salesdw.staging import side_by_side
 
 MEASURES = ("price", "qty_ordered", "grand_total", "discount_amount", "mv")
 
@@ -21,23 +20,26 @@ def fact_view(staged: DataFrame, dimension: Callable[[str], DataFrame], null_saf
     """
     keys = dict.fromkeys(spec.source_key for spec in DIMENSIONS)
     rows = staged.select(*MEASURES, *keys)
-    found = side_by_side(lambda spec: lookup_keys(dimension(spec.table), spec.key, spec.surrogate), DIMENSIONS)
-    for spec, keys_of_dimension in zip(DIMENSIONS, found):
-        rows = lookup(rows, keys_of_dimension, spec.source_key, null_safe)
+    sides = [lookup_keys(dimension(spec.table), spec.key, spec.surrogate) for spec in DIMENSIONS]
+    for place, side in broadcast_together(sides):
+        rows = lookup(rows, side, DIMENSIONS[place].source_key, null_safe)
     return rows.select(*MEASURES, *[spec.surrogate for spec in DIMENSIONS])
 
 
-def fact_rows(view: DataFrame, rejects: Observation | None = None, null_unfit: bool = False) -> DataFrame:
-    """The view in the types of the fact table. A value that does not fit fails the job.
-
-    With ``null_unfit`` it becomes null instead, and ``rejects`` counts such values per column while the rows are
-    written, without another pass.
-    """
-    fields = TABLES[FACT_TABLE].fields
-    fitted = {field.name: F.col(field.name).try_cast(field.dataType) for field in fields}
+def fitted_values(view: DataFrame, rejects: Observation | None) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The view, its columns in the types of the fact table (null where a value does not fit), and whether a measure is
+    lost that way. ``rejects`` counts the lost values per column while the rows are written, without another pass."""
+    fitted = {field.name: F.col(field.name).try_cast(field.dataType) for field in TABLES[FACT_TABLE].fields}
     lost = {name: F.col(name).isNotNull() & fitted[name].isNull() for name in MEASURES}
     if rejects is not None:
         view = view.observe(rejects, *[F.count_if(is_lost).alias(name) for name, is_lost in lost.items()])
+    return view, fitted, lost
+
+
+def fact_rows(view: DataFrame, rejects: Observation | None = None, null_unfit: bool = False) -> DataFrame:
+    """The view in the types of the fact table. A value that does not fit fails the job; with ``null_unfit`` it becomes
+    null instead."""
+    view, fitted, lost = fitted_values(view, rejects)
     if not null_unfit:
         for name, is_lost in lost.items():
             message = F.concat(F.lit(f"{name} does not fit the fact table: "), F.col(name).cast("string"))
@@ -45,6 +47,17 @@ def fact_rows(view: DataFrame, rejects: Observation | None = None, null_unfit: b
     return view.select(*[value.alias(name) for name, value in fitted.items()])
 
 
+def fact_or_reject(view: DataFrame, rejects: Observation | None = None) -> DataFrame:
+    """All rows of the view with ``rejected``: facts in their types, and rejects as they are with the reason."""
+    view, fitted, lost = fitted_values(view, rejects)
+    reasons = [F.when(is_lost, F.concat(F.lit(f"{name} does not fit: "), F.col(name).cast("string"))) for name, is_lost in lost.items()]
+    reason = F.concat_ws("; ", *reasons)
+    rejected = reason != ""
+    raw = [F.when(rejected, F.col(name).cast("double")).alias(f"raw_{name}") for name in MEASURES]
+    values = [value.alias(name) for name, value in fitted.items()]
+    return view.select(*values, *raw, F.when(rejected, reason).alias("reason"), rejected.alias("rejected"))
+
+
 def facts_by_date(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """Facts with their date row, newest first.
 

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from salesdw.plans.dimension import dimension_view, latest_members, upsert_rekeyed, upsert_stable
-from salesdw.plans.fact import MEASURES, fact_rows, fact_view, facts_by_date
+from salesdw.operators.joins import DUPLICATE_KEYS, DuplicateSourceKeys
+from salesdw.plans import views
+from salesdw.plans.dimension import latest_members, upsert_rekeyed, upsert_stable
+from salesdw.plans.fact import fact_or_reject, fact_rows, fact_view, facts_by_date
 from salesdw.plans.window_state import LoadPolicy, current_window, next_window, rows_in_window
 from salesdw.schema import (
     BATCH_COLUMN,
     DIMENSIONS,
     FACT_TABLE,
     FACT_VIEW,
+    PLACES_TABLE,
+    REJECTS,
+    REJECTS_TABLE,
     STAGE_TABLE,
     TABLES,
     WINDOW_TABLE,
-    Dimension,
 )
 from salesdw.sources.tables import overwrite_table
-from salesdw.staging import Staging, side_by_side
+from salesdw.staging import Staging, make_folder, side_by_side
 
 
 @dataclass(frozen=True)
@@ -57,17 +64,22 @@ class SalesWarehouse:
     def bootstrap(self) -> None:
         """Create the database and its eight tables where they are missing.
 
-        The fact table is partitioned by batch, so that a repeated batch replaces its own rows only.
+        The fact table is partitioned by batch, so that a repeated batch replaces its own rows only. Two more tables
+        serve the load: the rows that the fact table cannot hold, and the folders that each window has published.
         """
         place = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         for table, schema in TABLES.items():
             columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
-            if table == FACT_TABLE:
-                columns += f", {BATCH_COLUMN} bigint) USING PARQUET PARTITIONED BY ({BATCH_COLUMN}"
-                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns})")
-            else:
-                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING PARQUET")
+            parted = f", {BATCH_COLUMN} bigint) USING PARQUET PARTITIONED BY ({BATCH_COLUMN})"
+            end = parted if table == FACT_TABLE else ") USING PARQUET"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}{end}")
+        rejects = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in REJECTS)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(REJECTS_TABLE)} ({rejects}{parted}")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(PLACES_TABLE)} (table_name string, place string, id bigint) "
+            "USING PARQUET PARTITIONED BY (id)"
+        )
 
     def describe(self) -> DataFrame:
         """Table, column and type of every warehouse table."""
@@ -103,14 +115,22 @@ class SalesWarehouse:
         overwrite_table(rows_in_window(cleaned, start, end), self.name(STAGE_TABLE))
         return batch, start, end
 
-    def write_dimension(self, spec: Dimension, staging: Staging) -> str:
-        """The folder of the dimension after this batch; the table still shows the one before."""
-        staged, current = self.table(STAGE_TABLE), self.table(spec.table)
+    def write_dimensions(self, staging: Staging) -> dict[str, str]:
+        """The folders of the dimensions after this batch, by table; the tables still show those before."""
+        staged = self.table(STAGE_TABLE)
+        currents = [self.table(spec.table) for spec in DIMENSIONS]
         if self.policy.rekey:
-            updated = upsert_rekeyed(current, staged, spec, staging)
+            updated = upsert_rekeyed(currents, staged, DIMENSIONS, staging)
         else:
-            updated = upsert_stable(current, latest_members(staged, spec), spec, staging)
-        return self.write_idle(spec.table, updated)
+            updated = upsert_stable(currents, latest_members(staged, DIMENSIONS), DIMENSIONS, staging)
+        tables = [spec.table for spec in DIMENSIONS]
+        try:
+            paths = side_by_side(lambda pair: self.write_idle(*pair), zip(tables, updated), self.spark)
+        except PySparkException as error:
+            if DUPLICATE_KEYS in str(error):
+                raise DuplicateSourceKeys(str(error)) from error
+            raise
+        return dict(zip(tables, paths))
 
     def fact_view(self, written: dict[str, str] | None = None) -> DataFrame:
         """Fact rows of the staged batch, looked up in the tables or in the folders ``written`` for them."""
@@ -123,13 +143,50 @@ class SalesWarehouse:
     def load_facts(self, batch: int, written: dict[str, str] | None = None) -> dict[str, int]:
         """Write the facts of one batch over its partition; returns the values lost per column."""
         rejects = Observation()
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} PARTITION ({BATCH_COLUMN} = {int(batch)}) "
-            "SELECT * FROM {rows}",
-            rows=fact_rows(self.fact_view(written), rejects, self.policy.null_unfit),
-        )
+        if self.policy.keep_unfit:
+            self._load_both(batch, fact_or_reject(self.fact_view(written), rejects))
+        else:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} PARTITION ({BATCH_COLUMN} = {int(batch)}) "
+                "SELECT * FROM {rows}",
+                rows=fact_rows(self.fact_view(written), rejects, self.policy.null_unfit),
+            )
         return rejects.get
 
+    def _load_both(self, batch: int, rows: DataFrame) -> None:
+        """One write with two outputs: its folder of fitting rows is the batch's partition of the fact table, the other
+        one that of the rejects."""
+        path = f"{self.root}/loads/{batch}-{uuid.uuid4().hex}"
+        rows.write.partitionBy("rejected").parquet(path)
+        for table, rejected in ((FACT_TABLE, "false"), (REJECTS_TABLE, "true")):
+            folder = f"{path}/rejected={rejected}"
+            make_folder(self.spark, folder)  # without such rows there is none
+            partition = f"PARTITION ({BATCH_COLUMN} = {int(batch)})"
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {partition}")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD {partition} LOCATION '{folder}'")
+
+    def publish(self, batch: int, places: dict[str, str]) -> None:
+        """Note the folders of the next window, move the window, then show the folders.
+
+        The one row that moves the window decides: before it the batch has not happened, after it ``recover`` can
+        finish what is left.
+        """
+        values = ", ".join(f"('{table}', '{place}')" for table, place in places.items())
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(PLACES_TABLE)} PARTITION (id = {int(batch) + 1}) VALUES {values}")
+        self.advance()
+        self.show(places)
+
+    def show(self, places: dict[str, str]) -> None:
+        for table, place in places.items():
+            if self.place(table) != place:
+                self.point_to(table, place)
+
+    def recover(self) -> None:
+        """Show the folders of the last window that was reached, where a driver has died before it had shown them all."""
+        batch, _, _ = self.window()
+        noted = self.table(PLACES_TABLE).where(F.col("id") == batch).collect()  # a row a dimension
+        self.show({row["table_name"]: row["place"] for row in noted})
+
     def advance(self) -> None:
         self.spark.sql(
             f"INSERT INTO {self.name(WINDOW_TABLE)} (id, start_date, incremental_date) "
@@ -138,45 +195,28 @@ class SalesWarehouse:
         )
 
     def run_batch(self, cleaned: DataFrame) -> BatchResult:
-        """Stage, write the six dimensions and the facts, then show the dimensions and advance the window.
+        """Stage, write the six dimensions and the facts, then move the window and show the dimensions.
 
-        All rows are written before any dimension changes; what follows touches the catalog and one window row, and
-        is taken back where it fails. So a batch that fails starts again from the last finished one, in both forms of
-        keys, and replaces what it has written.
+        All rows are written before the window moves and any dimension changes. So a batch that fails, or whose driver
+        dies, before the window has moved starts again from the last finished one, in both forms of keys, and replaces
+        what it has written. Later than that, the next batch begins by showing the dimensions the window stands for.
         """
+        self.recover()
         batch, start, end = self.stage(cleaned)
         with Staging(self.spark) as staging:
-            paths = side_by_side(lambda spec: self.write_dimension(spec, staging), DIMENSIONS)
-            written = {spec.table: path for spec, path in zip(DIMENSIONS, paths)}
+            written = self.write_dimensions(staging)
             rejected = self.load_facts(batch, written)
-        before = {table: self.place(table) for table in written}
-        try:
-            for table, path in written.items():
-                self.point_to(table, path)
-            self.advance()
-        except BaseException:
-            for table, path in before.items():
-                self.point_to(table, path)
-            raise
+        self.publish(batch, written)
         return BatchResult(batch, start, end, rejected)
 
     def create_views(self) -> None:
-        """Create the seven named views in the database, and bring those of the dimensions up to the staged batch.
-
-        They stay in the catalog and read its tables whenever they are asked. The members' numbers need a sort of
-        all members, so they are written to a table of their own behind each view; call this again after a batch.
-        """
-        with Staging(self.spark) as staging:
-            for spec in DIMENSIONS:
-                members = dimension_view(self.table(STAGE_TABLE), spec, staging)
-                overwrite_table(members, self.name(f"members_{spec.table}"))
-                self._create_view(spec.view, f"SELECT * FROM {self.name(f'members_{spec.table}')}")
-        same = "=" if self.policy.rekey else "<=>"
-        joins = " ".join(
-            f"LEFT JOIN {self.name(spec.table)} ON s.{spec.source_key} {same} {spec.table}.{spec.key}" for spec in DIMENSIONS
-        )
-        fields = ", ".join([*[f"s.{name}" for name in MEASURES], *[spec.surrogate for spec in DIMENSIONS]])
-        self._create_view(FACT_VIEW, f"SELECT {fields} FROM {self.name(STAGE_TABLE)} s {joins}")
+        """Create the seven named views in the database. They stay in the catalog and read its tables whenever they are
+        asked, so they follow later batches by themselves."""
+        staged = self.table(STAGE_TABLE)
+        bounds = side_by_side(lambda spec: views.bucket_bounds(staged, spec), DIMENSIONS, self.spark)
+        for spec, own in zip(DIMENSIONS, bounds):
+            self._create_view(spec.view, views.dimension_select(spec, self.database, own))
+        self._create_view(FACT_VIEW, views.fact_select(self.database, null_safe=not self.policy.rekey))
 
     def _create_view(self, view: str, select: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(view)} AS {select}")

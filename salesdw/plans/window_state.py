@@ -17,7 +17,8 @@ class LoadPolicy:
     twice) instead of the day after. ``rekey``: a batch numbers its members from 1 again and
     overwrites the keys of matched members, instead of keeping a member's key for good. ``null_unfit``:
     amounts that the fact table's types cannot hold become null and are counted, instead of failing the
-    batch before its window moves.
+    batch before its window moves. ``keep_unfit``: rows with such amounts go to the table of rejects, whole and with
+    the reason, and not to the fact table.
     """
 
     first_start: date = date(2016, 1, 1)
@@ -28,6 +29,7 @@ class LoadPolicy:
     overlap: bool = False
     rekey: bool = False
     null_unfit: bool = False
+    keep_unfit: bool = False
 
 
 def current_window(state: DataFrame, policy: LoadPolicy = LoadPolicy()) -> DataFrame:

@@ -69,6 +69,7 @@ class Dimension:
         return [self.key, *self.attributes, self.surrogate]
 
 
+# Names of tables, views and keys.
 PRODUCT = Dimension("product", "dimproducts", "item_id_new", "item_id", ("sku", "category"), "DimProductKey", "view_dimproducts")
 DATE = Dimension("date", "dimdate", "created_at", "created_at", ("year", "month", "fy"), "DimDateKey", "view_dimdates")
 STATUS = Dimension("status", "dimstatus", "status", "status", (), "DimStatusKey", "view_dimstatus")
@@ -84,6 +85,8 @@ STAGE_TABLE = "stagging_table"
 FACT_TABLE = "factsalestable"
 FACT_VIEW = "view_fact_table"
 BATCH_COLUMN = "batch_id"
+REJECTS_TABLE = "rejected_sales"
+PLACES_TABLE = "published_places"
 
 MONEY = T.DecimalType(10, 2)
 
@@ -92,6 +95,7 @@ def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Columns and types of the tables.
 TABLES: dict[str, T.StructType] = {
     WINDOW_TABLE: _table(id=T.LongType(), start_date=T.DateType(), incremental_date=T.DateType()),
     PRODUCT.table: _table(
@@ -124,3 +128,14 @@ TABLES: dict[str, T.StructType] = {
         DimCustomerKey=T.IntegerType(),
     ),
 }
+
+# A row that the fact table cannot hold: its measures as they came, its keys, and what does not fit.
+REJECTS = T.StructType(
+    [
+        *[
+            T.StructField(f"raw_{field.name}" if not field.name.startswith("Dim") else field.name, T.DoubleType() if not field.name.startswith("Dim") else field.dataType)
+            for field in TABLES[FACT_TABLE]
+        ],
+        T.StructField("reason", T.StringType()),
+    ]
+)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -69,8 +70,16 @@ class Staging:
         self.release()
 
 
-def side_by_side(work: Callable[[T], R], items: Iterable[T]) -> list[R]:
-    """Start the Spark jobs of a few independent pieces of work together, so that they share the cluster."""
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def side_by_side(work: Callable[[T], R], items: Iterable[T], spark: SparkSession) -> list[R]:
+    """Start the Spark jobs of a few independent pieces of work together, so that they share the cluster.
+
+    They keep the caller's job group, so that cancelling it reaches them.
+    """
     pieces = list(items)
     with ThreadPoolExecutor(len(pieces)) as pool:
-        return list(pool.map(work, pieces))
+        return list(pool.map(inheritable_thread_target(spark)(work), pieces))

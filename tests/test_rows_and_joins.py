@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -78,8 +79,8 @@ def test_merge_takes_a_null_from_the_source(spark):
 def test_merge_with_repeated_source_keys(spark):
     """A repeated key fails when the target has it, and is inserted twice when not."""
     source = table(spark, [(1, "7/2016"), (1, "8/2016")], "k int, v string")
-    with pytest.raises(joins.DuplicateSourceKeys):
-        joins.merge_upsert(table(spark, [(1, "x")], "k int, v string"), source, "k")
+    with pytest.raises(PySparkException, match=joins.DUPLICATE_KEYS):
+        joins.merge_upsert(table(spark, [(1, "x")], "k int, v string"), source, "k").count()
     assert joins.merge_upsert(table(spark, [(2, "x")], "k int, v string"), source, "k").count() == 3
     nulls = table(spark, [(None, "a"), (None, "b")], "k int, v string")
     assert joins.merge_upsert(table(spark, [(None, "x")], "k int, v string"), nulls, "k").count() == 3
@@ -92,11 +93,12 @@ def test_lookup_is_the_same_beyond_the_broadcast_bound(spark, null_safe):
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 17 == 0, None).otherwise(F.col("id") % 500).alias("k"), "id"
     )
     members = table(spark, [(n, n + 1000) for n in range(400)] + [(None, 5)], "k long, s int")
-    small = joins.lookup(sales, joins.lookup_keys(members, "k", "s"), "k", null_safe)
+    keys = joins.lookup_keys(members, "k", "s")
+    small = joins.lookup(sales, joins.broadcast_if_small(keys), "k", null_safe)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        large = joins.lookup(sales, joins.lookup_keys(members, "k", "s", max_bytes=0), "k", null_safe)
+        large = joins.lookup(sales, joins.broadcast_if_small(keys, max_bytes=0), "k", null_safe)
         assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
         assert rows_of(small) == rows_of(large)
     finally:
@@ -105,6 +107,22 @@ def test_lookup_is_the_same_beyond_the_broadcast_bound(spark, null_safe):
     assert [row["s"] for row in found] == ([5] if null_safe else [None])
 
 
+def test_each_side_of_a_merge_is_read_once(spark, staging):
+    target = staging.put(table(spark, [(1, "x"), (2, "y")], "k int, v string"), "target")
+    source = staging.put(table(spark, [(2, "z"), (3, "w")], "k int, v string"), "source")
+    plan = joins.merge_upsert(target, source, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_broadcast_sides_keep_to_one_bound(spark):
+    """Two sides that fit alone but not together: the smaller one is broadcast, and comes first."""
+    small, large = table(spark, [("x" * 100,)] * 10, "s string"), table(spark, [("x" * 100,)] * 12, "s string")
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert [(place, hint(side)) for place, side in joins.broadcast_together([large, small], 1500)] == [(1, True), (0, False)]
+    assert [(place, hint(side)) for place, side in joins.broadcast_together([large, small], 3000)] == [(1, True), (0, True)]
+    assert [(place, hint(side)) for place, side in joins.broadcast_together([large, small], 1000)] == [(1, False), (0, False)]
+
+
 def test_size_is_measured(spark):
     df = table(spark, [("x" * 1000,)] * 10, "s string")
     assert joins.fits_broadcast(df, 10_160) and not joins.fits_broadcast(df, 10_159)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, rows_of
 from salesdw.checks.queries import YEARLY, cleaned_sales
-from salesdw.operators.joins import DuplicateSourceKeys
-from salesdw.plans import dimension
+from salesdw.operators.joins import DUPLICATE_KEYS, DuplicateSourceKeys
+from salesdw.plans import dimension, views
 from salesdw.plans.warehouse import SalesWarehouse
 from salesdw.plans.window_state import LoadPolicy, current_window, next_window, rows_in_window
-from salesdw.schema import CUSTOMER, DIMENSIONS, FACT_TABLE, PRODUCT, STATUS, TABLES, WINDOW_TABLE
+from salesdw.schema import CUSTOMER, DIMENSIONS, FACT_TABLE, PRODUCT, REJECTS_TABLE, STATUS, TABLES, WINDOW_TABLE
+from salesdw.staging import Staging
 
 STATE = "id long, start_date date, incremental_date date"
 
@@ -50,15 +51,19 @@ def test_window_bounds_reach_the_scan(spark, staging):
 
 
 def members(spark, keys):
-    return spark.createDataFrame([(k, f"s{k}", "c") for k in keys], "item_id int, sku string, category string")
+    return spark.createDataFrame([(0, k, f"s{k}", "c") for k in keys], "dim int, item_id int, sku string, category string")
+
+
+def upserted(spark, staging, current, keys):
+    return dimension.upsert_stable([current], members(spark, keys), [PRODUCT], staging)[0]
 
 
 def test_keys_are_stable(spark, staging):
     empty = spark.createDataFrame([], TABLES[PRODUCT.table])
-    first = staging.put(dimension.upsert_stable(empty, members(spark, [10, 20]), PRODUCT, staging), "one")
-    second = dimension.upsert_stable(first, members(spark, [20, 5]), PRODUCT, staging)
+    first = staging.put(upserted(spark, staging, empty, [10, 20]), "one")
+    second = upserted(spark, staging, first, [20, 5])
     assert {row["item_id"]: row["DimProductKey"] for row in second.collect()} == {10: 1, 20: 2, 5: 3}
-    again = dimension.upsert_stable(staging.put(second, "two"), members(spark, [20, 5]), PRODUCT, staging)
+    again = upserted(spark, staging, staging.put(second, "two"), [20, 5])
     assert rows_of(again) == rows_of(second)
 
 
@@ -71,11 +76,23 @@ def test_only_new_members_are_numbered(spark, staging, monkeypatch):
 
     monkeypatch.setattr(dimension, "number_rows", counting)
     empty = spark.createDataFrame([], TABLES[PRODUCT.table])
-    first = staging.put(dimension.upsert_stable(empty, members(spark, [10, 20, None]), PRODUCT, staging), "one")
-    second = dimension.upsert_stable(first, members(spark, [20, None]), PRODUCT, staging)
+    first = staging.put(upserted(spark, staging, empty, [10, 20, None]), "one")
+    second = upserted(spark, staging, first, [20, None])
     assert rows_of(second) == rows_of(first) and counts == [3, 0]
 
 
+def test_all_dimensions_from_one_scan(spark, staging):
+    """One pass over the staged rows, one shuffle of distinct members, one sort for all numbers."""
+    staged = staging.put(cleaned_sales(spark, SMALL), "staged")
+    members = dimension.distinct_members(staged, DIMENSIONS)
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and plan.count("Expand") == 1
+    together = dimension.dimension_views(staged, DIMENSIONS, staging)
+    for spec, view in zip(DIMENSIONS, together):
+        alone = dimension.dimension_views(staged, [spec], staging)[0]
+        assert view.columns == spec.columns and rows_of(view) == rows_of(alone)
+
+
 def sales(spark, rows):
     return spark.createDataFrame(
         [(k, since, date(2016, 1, 1) + timedelta(days=day)) for k, since, day in rows],
@@ -85,18 +102,19 @@ def sales(spark, rows):
 
 def test_the_latest_attribute_wins(spark):
     staged = sales(spark, [(1, "7/2016", 5), (1, "8/2016", 1), (2, None, 3), (2, "1/2016", 3), (None, "x", 1)])
-    found = rows_of(dimension.latest_members(staged, CUSTOMER))
+    found = rows_of(dimension.latest_members(staged, [CUSTOMER]).drop("dim"))
     assert found == [(1, "7/2016"), (2, "1/2016"), (None, "x")]
 
 
 def test_rekeyed_dimension(spark, staging):
     """A batch numbers from 1 again; a repeated key fails once the dimension has it."""
     empty = spark.createDataFrame([], TABLES[CUSTOMER.table])
-    one = dimension.upsert_rekeyed(empty, sales(spark, [(1, "a", 1), (2, "b", 1)]), CUSTOMER, staging)
-    two = dimension.upsert_rekeyed(staging.put(one, "one"), sales(spark, [(2, "c", 1), (3, "d", 1)]), CUSTOMER, staging)
+    rekeyed = lambda current, rows: dimension.upsert_rekeyed([current], sales(spark, rows), [CUSTOMER], staging)[0]
+    one = rekeyed(empty, [(1, "a", 1), (2, "b", 1)])
+    two = rekeyed(staging.put(one, "one"), [(2, "c", 1), (3, "d", 1)])
     assert rows_of(two) == [(1, "a", 1), (2, "c", 1), (3, "d", 2)]
-    with pytest.raises(DuplicateSourceKeys):
-        dimension.upsert_rekeyed(staging.put(two, "two"), sales(spark, [(2, "x", 1), (2, "y", 1)]), CUSTOMER, staging)
+    with pytest.raises(PySparkException, match=DUPLICATE_KEYS):
+        rekeyed(staging.put(two, "two"), [(2, "x", 1), (2, "y", 1)]).count()
 
 
 @pytest.fixture
@@ -185,9 +203,47 @@ def test_views(spark, house):
     assert rows_of(house.table("view_dimstatus")) == rows_of(house.table(STATUS.table))
     assert house.table("view_fact_table").count() == house.table(FACT_TABLE).count()
     second = house.run_batch(cleaned)
+    for spec in DIMENSIONS:  # the views follow without being made again
+        view = dimension.dimension_views(house.table("stagging_table"), [spec], Staging(spark))[0]
+        assert rows_of(house.table(spec.view)) == rows_of(view)
     assert house.table("view_fact_table").count() == rows_in_window(cleaned, second.start, second.end).count()
 
 
+def test_keys_as_literals(spark):
+    keys = ["it's", 'a "b" \\ c', "é日", "", date(2016, 2, 29), 7]
+    row = spark.sql("SELECT " + ", ".join(map(views.literal, keys))).first()
+    assert list(row) == keys
+
+
+def test_rejected_rows_are_kept_whole(spark, house):
+    house.policy = replace(house.policy, keep_unfit=True)
+    cleaned = cleaned_sales(spark, SMALL).withColumn(
+        "price", F.when(F.col("customer_id") % 2 == 0, F.lit(1e9)).otherwise(F.col("price"))
+    )
+    for _ in range(2):
+        result = house.run_batch(cleaned)
+        staged = rows_in_window(cleaned, result.start, result.end)
+        facts, rejects = (house.table(t).where(F.col("batch_id") == result.batch_id) for t in (FACT_TABLE, REJECTS_TABLE))
+        assert result.rejected_values["price"] == rejects.count() == staged.where("price = 1e9").count() > 0
+        assert facts.count() + rejects.count() == staged.count() and facts.where("price IS NULL").isEmpty()
+        assert rejects.select("reason").distinct().collect()[0][0] == "price does not fit: 1.0E9"
+        assert rejects.where("raw_qty_ordered IS NULL OR DimStatusKey IS NULL OR raw_price != 1e9").isEmpty()
+    # A batch without such rows, run again over the last one's place.
+    house.load_facts(1, None)
+    assert house.table(REJECTS_TABLE).select("batch_id").distinct().count() == 2
+
+
+def test_repeated_source_keys_fail_the_batch(spark, house):
+    house.policy = replace(house.policy, rekey=True)
+    cleaned = cleaned_sales(spark, SMALL)
+    house.run_batch(cleaned)
+    other = cleaned.withColumn("customer_since", F.concat("customer_since", F.col("month").cast("string")))
+    before = {spec.table: rows_of(house.table(spec.table)) for spec in DIMENSIONS}
+    with pytest.raises(DuplicateSourceKeys):
+        house.run_batch(other)
+    assert {spec.table: rows_of(house.table(spec.table)) for spec in DIMENSIONS} == before
+
+
 def test_report_is_newest_first(spark, house):
     house.run_batch(cleaned_sales(spark, SMALL))
     dates = [row["created_at"] for row in house.facts_by_date().select("created_at").collect()]
