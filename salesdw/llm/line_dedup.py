@@ -5,11 +5,14 @@ replacement of a character apart. A line goes when an earlier line matches it, w
 is doc_id (null last), text, place. Lines of fewer than ``min_chars`` characters stay.
 
 A line of n characters has n variants with one character deleted. They are emitted only where they can meet:
-one edit leaves one half of a line as it was, so lines are first brought together by a digest of either half (for
-the length of the shorter line of a pair), and only lines that share a half with a different line emit the variants
-of the other half. Variants are keyed with the place of the deleted character. Lines of one key differ in that place
-alone, so each is within the bound of the earliest of them, which is its witness; no pairs are formed. A variant that
-is a line itself pairs with the earliest line it comes from. Witnesses are verified by edit distance.
+one edit leaves two thirds of a line as they were, so different lines are first brought together by a digest of all but
+each third (cut by the length of the shorter line of a pair), and only lines that share such a frame with another line
+emit the variants of the open third. These lines are numbered in order, so that only numbers move with the variants.
+Variants are keyed with the place of the deleted character. Lines of one key differ in that place alone, so each is
+within the bound of the earliest of them, which is its witness; no pairs are formed. A variant that is a line itself
+pairs with the earliest line it comes from. Witnesses are verified by edit distance.
+
+Equal lines are found by 128-bit digests. Frames and variants have 64-bit keys, which only bring lines together.
 """
 
 from __future__ import annotations
@@ -22,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdw.llm.substring import LINE_END, document_name, rank, spans, with_text_hash, without_spans
+from salesdw.operators.ordering import number_rows
 from salesdw.staging import Staging
 
 LINE_SCHEMA = (
-    "doc_id bigint, text_hash bigint, unit int, start bigint, length bigint, digest bigint, halves array<bigint>"
+    "doc_id bigint, text_hash bigint, unit int, start bigint, length bigint, digest binary, frames array<bigint>"
 )
+PARTS = 3
 PLACE = ["doc_id", "text_hash", "unit"]
 
 
@@ -39,22 +44,21 @@ def signed(data: bytes, seed: int = 0) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def half_keys(code: bytes) -> list[tuple[int, int, bool]]:
-    """(length class, key, whether the first half is shared) of a normalised line in UTF-32.
+def frame_keys(code: bytes) -> Iterator[tuple[int, int, int]]:
+    """Key, beginning and end of the open part of each frame of a normalised line in UTF-32.
 
-    A line of n characters pairs with lines of n and n + 1 in class n, and with n - 1 in class n - 1.
+    A line of n characters pairs with lines of n and n + 1 by the cuts for n, and with n - 1 by those for n - 1.
     """
     n = len(code) // 4
-    keys = []
     for shorter in (n, n - 1):
-        cut = 4 * (shorter // 2)
-        keys.append((shorter, signed(code[:cut], 2 * shorter), True))
-        keys.append((shorter, signed(code[len(code) - (4 * shorter - cut) :], 2 * shorter + 1), False))
-    return keys
+        for part in range(PARTS):
+            begin, rest = shorter * part // PARTS, shorter - shorter * (part + 1) // PARTS
+            frame = code[: 4 * begin] + code[4 * (n - rest) :]
+            yield signed(frame, PARTS * shorter + part), begin, n - rest
 
 
 def lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
-    """The lines that take part: place, span in the original text, digest and half keys; a null text has none."""
+    """The lines that take part: place, span in the original text, digest and frame keys; a null text has none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,98 +69,99 @@ def lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
                     if len(plain) < min_chars:
                         continue
                     code = plain.encode("utf-32-le")
-                    halves = [key for _, key, _ in half_keys(code)]
-                    for column, value in zip(found, (doc_id, own, number, start, stop - start, signed(code), halves)):
+                    frames = [key for key, _, _ in frame_keys(code)]
+                    digest = xxhash.xxh3_128_digest(code)
+                    for column, value in zip(found, (doc_id, own, number, start, stop - start, digest, frames)):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            names = ["doc_id", "text_hash", "unit", "start", "length", "digest", "halves"]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            names = ["doc_id", "text_hash", "unit", "start", "length", "digest", "frames"]
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(found, kinds)], names=names)
 
     return with_text_hash(docs.select("doc_id", "text")).mapInArrow(rows, LINE_SCHEMA)
 
 
-def suspects(found: DataFrame) -> DataFrame:
-    """Digests of lines that share a half with a different line, and those halves' keys."""
-    halves = found.select(F.explode("halves").alias("half"), "digest")
-    ends = halves.groupBy("half").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    shared = ends.where("low != high").select("half")
-    return halves.join(shared, "half").groupBy("digest").agg(F.collect_set("half").alias("shared"))
+def suspects(firsts: DataFrame, staging: Staging) -> DataFrame:
+    """line, first, shared: the different lines that share a frame with another one, numbered in order of their first
+    place, and the keys of those frames. ``firsts`` has digest, first and frames, one row per digest."""
+    frames = firsts.select(F.explode("frames").alias("frame"), F.xxhash64("digest").alias("own"))
+    ends = frames.groupBy("frame").agg(F.min("own").alias("low"), F.max("own").alias("high"))
+    # Written, so that the join has two shuffles of its own and a frame of many lines can be split.
+    shared = staging.put(ends.where("low != high").select("frame"), "shared-frames")
+    mine = frames.join(shared.hint("shuffle_hash"), "frame", "left_semi").groupBy("own").agg(F.collect_set("frame").alias("shared"))
+    chosen = firsts.select("first", F.xxhash64("digest").alias("own")).join(mine, "own").select("first", "shared")
+    return number_rows(chosen, ["first"], "line", staging)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest and normalised text of the ``wanted`` lines (PLACE, digest, shared: one row per digest)."""
-    lists = wanted.select(document_name().alias("_key"), F.struct("unit", "digest", "shared").alias("line"))
-    lists = lists.groupBy("_key").agg(F.collect_list("line").alias("lines"))
+    """line, plain (the normalised text) and shared of the ``wanted`` lines (PLACE, line, shared)."""
+    lists = wanted.select(document_name().alias("_key"), F.struct("unit", "line", "shared").alias("entry"))
+    lists = lists.groupBy("_key").agg(F.collect_list("entry").alias("entries"))
     keyed = with_text_hash(docs.select("doc_id", "text"))
     # Repeated rows of a document bring the same lines again; one row per line is kept below.
-    joined = keyed.select(document_name().alias("_key"), "text").join(lists, "_key").select("text", "lines")
+    texts = keyed.select(document_name().alias("_key"), "text")
+    joined = texts.join(lists.hint("shuffle_hash"), "_key").select("text", "entries")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, texts, shared = [], [], []
+            numbers, texts, shared = [], [], []
             for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                places = {line["unit"]: line for line in chosen}
+                places = {entry["unit"]: entry for entry in chosen}
                 for number, (start, stop) in enumerate(spans(text, LINE_END)):
                     if number in places:
-                        digests.append(places[number]["digest"])
+                        numbers.append(places[number]["line"])
                         texts.append(normalised(text[start:stop]))
                         shared.append(places[number]["shared"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.int64()), pa.array(texts, pa.string()), pa.array(shared, pa.list_(pa.int64()))],
-                names=["digest", "plain", "shared"],
+                [pa.array(numbers, pa.int64()), pa.array(texts, pa.string()), pa.array(shared, pa.list_(pa.int64()))],
+                names=["line", "plain", "shared"],
             )
 
-    return joined.mapInArrow(rows, "digest bigint, plain string, shared array<bigint>").dropDuplicates(["digest"])
+    return joined.mapInArrow(rows, "line bigint, plain string, shared array<bigint>").dropDuplicates(["line"])
 
 
 def variants(texts: DataFrame) -> DataFrame:
-    """(variant, place, digest): each line with one character of the half that is not shared deleted, once a place.
+    """(variant, place, line): each line with one character of an open third deleted, once a place.
 
     ``place`` is -1 for the line itself, to be met by variants of lines one character longer.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for digest, plain, shared in zip(*(column.to_pylist() for column in batch.columns)):
+            for line, plain, shared in zip(*(column.to_pylist() for column in batch.columns)):
                 code, known = plain.encode("utf-32-le"), set(shared)
-                n, open_places = len(plain), set()
-                for shorter, key, first in half_keys(code):
-                    if key in known:
-                        cut = shorter // 2
-                        open_places.update(range(cut, n) if first else range(n - (shorter - cut)))
+                open_places = {at for key, begin, end in frame_keys(code) if key in known for at in range(begin, end)}
                 places = sorted(open_places)
                 made = [signed(code[: 4 * at] + code[4 * at + 4 :]) for at in places] + [signed(code)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(made), pa.array([*places, -1], pa.int32()), pa.array([digest] * len(made), pa.int64())],
-                    names=["variant", "place", "digest"],
+                    [pa.array(made), pa.array([*places, -1], pa.int32()), pa.array([line] * len(made), pa.int64())],
+                    names=["variant", "place", "line"],
                 )
 
-    return texts.mapInArrow(rows, "variant bigint, place int, digest bigint")
-
-
-def near_witnesses(docs: DataFrame, firsts: DataFrame, suspected: DataFrame, staging: Staging) -> DataFrame:
-    """digest and witness (a line's earliest place): an earlier line exactly one edit away, for lines that have one."""
-    chosen = staging.put(firsts.join(suspected, "digest").select("digest", "first", "shared"), "suspects")
-    wanted = chosen.select("first.*", "digest", "shared")
-    texts = staging.put(_texts(docs, wanted), "suspect-texts")
-    places = chosen.select("digest", "first")
-    emitted = staging.put(variants(texts).join(places, "digest"), "variants")
-    deleted, whole = emitted.where("place >= 0"), emitted.where("place < 0")
-    entry = F.struct("first", "digest")
-    same_place = deleted.groupBy("variant", "place").agg(F.min(entry).alias("witness"), F.max(entry).alias("last"))
-    replaced = deleted.join(same_place.where("witness != last").drop("last"), ["variant", "place"])
-    longest = deleted.groupBy("variant").agg(F.min(entry).alias("longer"))
-    shorter = whole.select("variant", F.struct("first", "digest").alias("line"))
+    return texts.mapInArrow(rows, "variant bigint, place int, line bigint")
+
+
+def near_witnesses(docs: DataFrame, firsts: DataFrame, staging: Staging) -> DataFrame:
+    """first and witness (first places): an earlier line exactly one edit away, for the lines that have one."""
+    chosen = staging.put(suspects(firsts, staging), "suspects")
+    texts = staging.put(_texts(docs, chosen.select("first.*", "line", "shared")), "suspect-texts")
+    emitted = staging.put(variants(texts), "variants")
+    deleted, whole = emitted.where("place >= 0"), emitted.where("place < 0").select("variant", F.col("line").alias("shorter"))
+    ends = deleted.groupBy("variant", "place").agg(F.min("line").alias("witness"), F.max("line").alias("last"))
+    ends = staging.put(ends.where("witness != last").drop("last"), "replaced")
+    replaced = deleted.join(ends, ["variant", "place"])
+    longest = deleted.groupBy("variant").agg(F.min("line").alias("longer"))
     # A line against the earliest line that it is a variant of, and every such line against it.
-    of_longer = longest.join(shorter, "variant").select(F.col("line.digest").alias("digest"), F.col("line.first").alias("first"), F.col("longer").alias("witness"))
-    of_shorter = deleted.join(shorter, "variant").select("digest", "first", F.col("line").alias("witness"))
-    met = replaced.select("digest", "first", "witness").unionByName(of_longer).unionByName(of_shorter)
-    earlier = met.where(F.col("witness.first") < F.col("first")).select("digest", "witness").distinct()
-    plain = texts.select("digest", "plain")
-    other = plain.select(F.col("digest").alias("_digest"), F.col("plain").alias("_plain"))
-    checked = earlier.join(plain, "digest").join(other, F.col("witness.digest") == F.col("_digest"))
-    within = checked.where(F.levenshtein("plain", "_plain", 1) == 1)
-    return within.groupBy("digest").agg(F.min("witness.first").alias("witness"))
+    of_longer = longest.join(whole, "variant").select(F.col("shorter").alias("line"), F.col("longer").alias("witness"))
+    of_shorter = deleted.join(whole, "variant").select("line", F.col("shorter").alias("witness"))
+    met = replaced.select("line", "witness").unionByName(of_longer).unionByName(of_shorter)
+    earlier = met.where("witness < line").distinct()
+    plain = texts.select("line", "plain")
+    other = plain.select(F.col("line").alias("witness"), F.col("plain").alias("_plain"))
+    checked = earlier.join(plain, "line").join(other, "witness")
+    within = checked.where(F.levenshtein("plain", "_plain", 1) == 1).groupBy("line").agg(F.min("witness").alias("witness"))
+    place = chosen.select("line", "first")
+    named = within.join(place, "line").select("first", F.col("witness").alias("line"))
+    return named.join(place.withColumnRenamed("first", "_witness"), "line").select("first", F.col("_witness").alias("witness"))
 
 
 def matching_lines(docs: DataFrame, staging: Staging, min_chars: int = 16) -> DataFrame:
@@ -166,11 +171,14 @@ def matching_lines(docs: DataFrame, staging: Staging, min_chars: int = 16) -> Da
     ``docs`` that agree in id and text are one document. An empty table, null and blank texts give no rows.
     """
     found = staging.put(lines(docs, min_chars), "lines")
-    firsts = found.groupBy("digest").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last"))
-    firsts = staging.put(firsts, "firsts")
-    near = near_witnesses(docs, firsts.select("digest", "first"), suspects(found), staging)
-    marked = firsts.join(near, "digest", "left").where("first != last or witness is not null")
-    occurrences = found.drop("halves").join(marked.drop("last"), "digest")
+    # One row per digest; copies of a line bring their frames no further than the first shuffle.
+    earliest = F.min(F.struct(rank().alias("place"), "frames")).alias("earliest")
+    firsts = found.groupBy("digest").agg(earliest, F.max(rank()).alias("last"))
+    firsts = staging.put(firsts.select("digest", "earliest.place", "last", "earliest.frames").withColumnRenamed("place", "first"), "firsts")
+    near = near_witnesses(docs, firsts.select("digest", "first", "frames"), staging)
+    marked = firsts.drop("frames").join(near, "first", "left").where("first != last or witness is not null")
+    marked = staging.put(marked.select("digest", "first", "witness"), "marked")
+    occurrences = found.drop("frames").join(marked, "digest")
     gone = occurrences.where((rank() != F.col("first")) | F.col("witness").isNotNull())
     equal = rank() != F.col("first")
     kept = F.when(equal, F.col("first")).otherwise(F.col("witness"))
