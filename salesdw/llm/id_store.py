@@ -2,7 +2,8 @@
 
 A shard holds whole documents in order. Its ids are compressed by replacing frequent neighbouring pairs with new
 symbols, many pairs a round; pairs of one round never overlap, because no symbol is a left part of one and a right
-part of another. A shard's row has the rules, the number of ids each rule expands to, the remaining symbols, and
+part of another. This goes on until no pair of unlike symbols stands ``least`` times in the shard: a rule costs about as
+much as it saves below that. A shard's row has ``least``, the rules, the number of ids each rule expands to, the remaining symbols, and
 the documents' lengths, so a document is found by summing expansion lengths and only its own symbols are expanded.
 """
 
@@ -21,17 +22,15 @@ from salesdw.llm.common import shared_chunk_ids
 END_ID = 1
 CELL = np.uint64(0x9E3779B97F4A7C15)  # multiplies a pair; the upper 20 bits are its cell
 SHARD_SCHEMA = (
-    "part int, shard int, first_symbol long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
+    "part int, shard int, first_symbol long, least int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
     "rules binary, rule_tokens binary, symbols binary"
 )
 
 
-def compress(ids: np.ndarray, first_symbol: int, rounds: int, pairs_a_round: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, first_symbol: int, pairs_a_round: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The remaining symbols, and the rules: rule n makes symbol ``first_symbol + n`` from two earlier ones."""
     symbols, rules = ids.astype(np.uint64), np.zeros((0, 2), np.uint64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         pairs = symbols[:-1] << np.uint64(32) | symbols[1:]
         # Only pairs whose cell of a hash table is full enough can be frequent; the others need no exact count.
         cell = ((pairs * CELL) >> np.uint64(44)).view(np.int64)
@@ -84,18 +83,28 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndar
         symbols = wide
 
 
-def read_range(shard: dict, start: int, length: int) -> np.ndarray:
-    """Ids ``start`` to ``start + length`` of a shard, expanding only the symbols that cover them."""
-    first = shard["first_symbol"]
-    rules = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2)
-    symbols = np.frombuffer(shard["symbols"], "<u4")
-    known = np.frombuffer(shard["rule_tokens"], "<u4")
-    each = np.ones(len(symbols), np.int64)
-    each[symbols >= first] = known[symbols[symbols >= first] - first]
-    ends = np.cumsum(each)
-    low, high = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + length, "left") + 1
-    skipped = start - (ends[low] - each[low]) if low < len(ends) else 0
-    return expand(symbols[low:high], rules, first)[skipped : skipped + length]
+class ShardReader:
+    """Random access to the ids of one shard row."""
+
+    def __init__(self, shard: dict):
+        self.first = shard["first_symbol"]
+        self.rules = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2)
+        self.symbols = np.frombuffer(shard["symbols"], "<u4")
+        known = np.frombuffer(shard["rule_tokens"], "<u4")
+        self.each = np.ones(len(self.symbols), np.int64)
+        made = self.symbols >= self.first
+        self.each[made] = known[self.symbols[made] - self.first]
+        self.ends = np.cumsum(self.each)
+
+    def read(self, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """The ids ``start`` to ``start + length`` of each range, expanding only the symbols that cover them."""
+        low = np.searchsorted(self.ends, starts, "right")
+        high = np.searchsorted(self.ends, starts + lengths, "left") + 1
+        found = []
+        for start, length, a, b in zip(starts.tolist(), lengths.tolist(), low.tolist(), high.tolist()):
+            skipped = start - int(self.ends[a] - self.each[a]) if a < len(self.ends) else 0
+            found.append(expand(self.symbols[a:b], self.rules, self.first)[skipped : skipped + length])
+        return found
 
 
 def encode_shards(
@@ -104,7 +113,6 @@ def encode_shards(
     end_id: int = END_ID,
     partitions: int | None = None,
     shard_tokens: int = 1_000_000,
-    rounds: int = 3,
     pairs_a_round: int = 512,
     least: int = 16,
 ) -> DataFrame:
@@ -128,11 +136,12 @@ def encode_shards(
 
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(encoded), "<u4")
-            symbols, rules = compress(ids, first, rounds, pairs_a_round, least)
+            symbols, rules = compress(ids, first, pairs_a_round, least)
             row = {
                 "part": part,
                 "shard": number,
                 "first_symbol": first,
+                "least": least,
                 "n_tokens": len(ids),
                 "doc_ids": names,
                 "doc_tokens": [len(one) // 4 for one in encoded],
@@ -159,6 +168,7 @@ def encode_shards(
             ("part", pa.int32()),
             ("shard", pa.int32()),
             ("first_symbol", pa.int64()),
+            ("least", pa.int32()),
             ("n_tokens", pa.int64()),
             ("doc_ids", long_list),
             ("doc_tokens", long_list),
@@ -171,30 +181,31 @@ def encode_shards(
 
 
 def decode_shards(shards: DataFrame) -> DataFrame:
-    """One row per document: part, shard, place (from 0), doc_id, shard_start, n_tokens, ids (binary)."""
+    """One row per document: part, shard, place (from 0), doc_id, shard_start, n_tokens, ids (binary).
+
+    Each document is read by itself through the expansion lengths of its shard.
+    """
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in (row for at in range(batch.num_rows) for row in batch.slice(at, 1).to_pylist()):
-                rules = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2)
-                ids = expand(np.frombuffer(shard["symbols"], "<u4"), rules, shard["first_symbol"]).astype("<u4")
-                ends = np.cumsum(shard["doc_tokens"])
-                starts = ends - np.array(shard["doc_tokens"])
-                raw, count = ids.tobytes(), len(ends)
+                sizes = np.array(shard["doc_tokens"], np.int64)
+                starts, count = np.cumsum(sizes) - sizes, len(sizes)
+                ids = [one.astype("<u4").tobytes() for one in ShardReader(shard).read(starts, sizes)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(count, shard["part"], np.int32)),
                         pa.array(np.full(count, shard["shard"], np.int32)),
                         pa.array(np.arange(count, dtype=np.int32)),
                         pa.array(shard["doc_ids"], pa.int64()),
-                        pa.array(starts.astype(np.int64)),
-                        pa.array(shard["doc_tokens"], pa.int64()),
-                        pa.array([raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
+                        pa.array(starts),
+                        pa.array(sizes),
+                        pa.array(ids, pa.binary()),
                     ],
                     names=["part", "shard", "place", "doc_id", "shard_start", "n_tokens", "ids"],
                 )
 
-    wanted = shards.select("part", "shard", "first_symbol", "doc_ids", "doc_tokens", "rules", "symbols")
+    wanted = shards.select("part", "shard", "first_symbol", "doc_ids", "doc_tokens", "rules", "rule_tokens", "symbols")
     return wanted.mapInArrow(
         documents, "part int, shard int, place int, doc_id long, shard_start long, n_tokens long, ids binary"
     )
