@@ -47,10 +47,10 @@ class ChunkIds(dict):
 
     The vocabulary's normaliser and word pattern never join characters across a blank or a line end, so a text's
     ids are the ids of its chunks in order; each distinct chunk is given to the library once. A comma or full stop
-    after letters is a word of its own, and plain A-Z letters are lower-cased anyway, so such chunks reuse entries.
+    after letters that the normaliser leaves letters is a word of its own, and plain A-Z letters are lower-cased anyway, so such chunks reuse entries.
     """
 
-    def __init__(self, path: str, entries: int = 350_000, longest: int = 64):
+    def __init__(self, path: str, entries: int = 550_000, longest: int = 64):
         super().__init__()
         self.library = Tokenizer.from_file(path)
         self.merges = self.library.model
@@ -64,7 +64,7 @@ class ChunkIds(dict):
         found = self.older.get(chunk)
         if found is not None:
             pass
-        elif chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
+        elif chunk[-1:] in (",", ".") and chunk[:-1].isalpha() and (chunk.isascii() or self.normal(chunk[:-1]).isalpha()):
             found = self[chunk[:-1]] + self[chunk[-1]]
         elif chunk.isalpha() and chunk.isascii():
             # One word for the word pattern; the library's merges need no more than its lower case.
