@@ -1,14 +1,19 @@
 """Quality rules with host verdicts, in DataFrame functions only.
 
-Every text is measured by itself. Failures of each rule are then counted by host (the ``source`` column), and a
-host's failure rate is shrunk towards the rate of all hosts with a beta prior whose mean and variance are those of
-the hosts' rates, so a host with few documents says little. Where a host's shrunken rate of a soft rule is above
-the threshold, that rule binds for its documents; elsewhere a lone soft failure is let pass.
+Every text is measured by itself. Failures of each rule, base rules and soft ones, are then counted by host (the
+``source`` column). A host's failure rate is shrunk towards the mean rate with a beta prior, so a host with few
+documents says little. The prior's mean and variance are those of the hosts' rates, less the variance that chance alone
+gives to rates of so few documents; where nothing is left, all hosts have the mean rate. A host whose shrunken rate of
+any rule is above ``host_rate`` is rejected with all its documents. Above ``binding_rate`` a soft rule binds: the host's
+documents that fail it go; elsewhere a lone soft failure is let pass.
+
+Rows are carried as one struct, so columns of any name are safe. A null source is a host like others.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +33,12 @@ class HostPolicy:
     dup_lines_a_word: float = 0.02
     shortest_mean_word: float = 2.5
     longest_mean_word: float = 12.0
+    binding_rate: float = 0.25
     host_rate: float = 0.5
 
+    def base_rules(self) -> dict[str, Column]:
+        return {"short": F.col("n_words") < 20, "repeats": 100 * F.col("n_repeat_words") > 30 * F.col("n_words")}
+
     def soft_rules(self) -> dict[str, Column]:
         words = F.greatest(F.col("n_words"), F.lit(1))
         mean = F.col("word_chars") / words
@@ -40,17 +49,18 @@ class HostPolicy:
         }
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``docs`` with the measures of its whole ``text`` and ``base_failed``; a null text has no words.
+def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """``row`` (a struct of the ``carry`` columns), host (the source), the measures of the whole ``text`` and
+    ``base_failed``; a null text has no words.
 
-    Equal 8-word windows are found by 64-bit hashes inside one text. Columns of ``docs`` with the measures' names
-    are replaced.
+    Equal 8-word windows are found by 64-bit hashes inside one text.
     """
-    kept = [name for name in docs.columns if name not in [*MEASURES, "base_failed"]]
+    kept = ["row", "host"]
     text = F.coalesce(F.col("text"), F.lit(""))
     has_word = lambda line: F.length(F.btrim(line, F.lit(BLANKS))) > 0
     words = docs.select(
-        *kept,
+        F.struct(*[F.col(f"`{name}`") for name in carry]).alias("row"),
+        F.col("source").alias("host"),
         F.split(F.btrim(text, F.lit(BLANKS)), BLANK_RUN).alias("_words"),
         F.filter(F.split(text, "\n"), has_word).alias("_lines"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -89,43 +99,43 @@ def measure(docs: DataFrame) -> DataFrame:
     gap = lambda at, n: F.least(F.lit(WINDOW), F.coalesce(F.get("_places", n + 1) - at, F.lit(WINDOW)))
     covered = F.aggregate(F.transform("_places", gap), F.lit(0), lambda total, one: total + one)
     measured = places.select(*kept, *MEASURES[:4], F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return measured.withColumn("base_failed", failed)
+    rules = HostPolicy().base_rules()
+    return measured.withColumn("base_failed", rules["short"] | rules["repeats"])
 
 
 def host_verdicts(measured: DataFrame, policy: HostPolicy) -> DataFrame:
-    """One row per host: ``source`` and, for each soft rule, ``_binds_<rule>``. A null source is a host too."""
-    rules = policy.soft_rules()
+    """One row per host: ``_host``, ``_rejected`` and, for each soft rule, ``_binds_<rule>``."""
+    soft = policy.soft_rules()
+    rules = policy.base_rules() | soft
     counts = [F.sum(failed.cast("long")).alias(f"_failed_{name}") for name, failed in rules.items()]
-    hosts = measured.groupBy("source").agg(F.count("*").alias("_docs"), *counts)
+    hosts = measured.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("_docs"), *counts)
     rates = {name: F.col(f"_failed_{name}") / F.col("_docs") for name in rules}
-    spread = [f(rate).alias(f"{kind}_{name}") for name, rate in rates.items() for kind, f in (("mean", F.avg), ("var", F.var_pop))]
-    prior = hosts.agg(*spread).first()
-    verdicts = hosts
+    moments = [f(rate).alias(f"{kind}_{name}") for name, rate in rates.items() for kind, f in (("mean", F.avg), ("var", F.var_pop))]
+    found = hosts.agg(F.avg(1 / F.col("_docs")).alias("chance"), *moments).first()
+    shrunken = {}
     for name in rules:
-        mean, variance = prior[f"mean_{name}"] or 0.0, prior[f"var_{name}"] or 0.0
-        # A beta distribution of this mean and variance has a + b = mean (1 - mean) / variance - 1.
-        weight = min(max(mean * (1 - mean) / variance - 1, 1.0), 1000.0) if variance > 0 else 1000.0
-        shrunken = (F.col(f"_failed_{name}") + mean * weight) / (F.col("_docs") + weight)
-        verdicts = verdicts.withColumn(f"_binds_{name}", shrunken > policy.host_rate)
-    return verdicts.select("source", *[f"_binds_{name}" for name in rules])
+        mean, variance = found[f"mean_{name}"] or 0.0, found[f"var_{name}"] or 0.0
+        real = variance - mean * (1 - mean) * (found["chance"] or 0.0)
+        if real <= 0:  # the hosts do not differ by more than chance
+            shrunken[name] = F.lit(mean)
+        else:  # a beta distribution of this mean and variance has a + b = mean (1 - mean) / variance - 1
+            weight = mean * (1 - mean) / real - 1
+            shrunken[name] = (F.col(f"_failed_{name}") + mean * weight) / (F.col("_docs") + weight)
+    rejected = F.greatest(*shrunken.values()) > policy.host_rate
+    binds = [(shrunken[name] > policy.binding_rate).alias(f"_binds_{name}") for name in soft]
+    return hosts.select("_host", rejected.alias("_rejected"), *binds)
 
 
 def judge(docs: DataFrame, staging: Staging, policy: HostPolicy = HostPolicy(), carry: list[str] | None = None) -> DataFrame:
-    """The ``carry`` columns of ``docs`` (all by default), the measures, ``base_failed`` and ``kept``.
+    """``row`` (a struct of the ``carry`` columns of ``docs``, all by default), the measures, ``base_failed`` and ``kept``.
 
     The measured rows are written once; hosts are counted from them and joined back, the verdicts broadcast only
     where Spark's own threshold allows it. An empty table gives an empty result.
     """
-    carried = docs.columns if carry is None else carry
-    source = [] if "source" in carried else ["source"]
-    measured = staging.put(measure(docs).select(*dict.fromkeys([*carried, *source, *MEASURES, "base_failed"])), "measured")
-    verdicts = host_verdicts(measured, policy).withColumnRenamed("source", "_host")
-    rules = policy.soft_rules()
-    binding = [F.col(f"_binds_{name}") & failed for name, failed in rules.items()]
-    rejected = binding[0]
-    for one in binding[1:]:
-        rejected = rejected | one
-    joined = measured.join(verdicts, F.col("source").eqNullSafe(F.col("_host")), "left")
-    kept = ~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))
-    return joined.select(*dict.fromkeys([*carried, *MEASURES, "base_failed"]), kept.alias("kept"))
+    measured = staging.put(measure(docs, docs.columns if carry is None else carry), "measured")
+    verdicts = host_verdicts(measured, policy)
+    bound = [F.col(f"_binds_{name}") & failed for name, failed in policy.soft_rules().items()]
+    gone = reduce(lambda one, other: one | other, bound, F.col("_rejected"))
+    joined = measured.join(verdicts, F.col("host").eqNullSafe(F.col("_host")), "left")
+    kept = ~F.col("base_failed") & ~F.coalesce(gone, F.lit(False))
+    return joined.select("row", *MEASURES, "base_failed", kept.alias("kept"))

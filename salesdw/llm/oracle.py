@@ -33,21 +33,23 @@ WITH base AS (
          word_chars / greatest(n_words, 1) < 2.5 OR word_chars / greatest(n_words, 1) > 12.0 AS f3
   FROM measured
 ), hosts AS (
-  SELECT source, count(*) AS n, sum(f1::INT) AS k1, sum(f2::INT) AS k2, sum(f3::INT) AS k3 FROM judged GROUP BY source
+  SELECT source, count(*) AS n, sum((n_words < 20)::INT) AS k1, sum((100 * n_repeat_words > 30 * n_words)::INT) AS k2,
+         sum(f1::INT) AS k3, sum(f2::INT) AS k4, sum(f3::INT) AS k5
+  FROM judged GROUP BY source
+), rates AS (
+  SELECT source, n, unnest([k1, k2, k3, k4, k5]) AS k, unnest([1, 2, 3, 4, 5]) AS rule FROM hosts
 ), moments AS (
-  SELECT avg(k1 / n) AS m1, var_pop(k1 / n) AS v1, avg(k2 / n) AS m2, var_pop(k2 / n) AS v2,
-         avg(k3 / n) AS m3, var_pop(k3 / n) AS v3 FROM hosts
-), prior AS (
-  SELECT m1, m2, m3,
-         CASE WHEN v1 > 0 THEN least(greatest(m1 * (1 - m1) / v1 - 1, 1), 1000) ELSE 1000 END AS s1,
-         CASE WHEN v2 > 0 THEN least(greatest(m2 * (1 - m2) / v2 - 1, 1), 1000) ELSE 1000 END AS s2,
-         CASE WHEN v3 > 0 THEN least(greatest(m3 * (1 - m3) / v3 - 1, 1), 1000) ELSE 1000 END AS s3 FROM moments
+  SELECT rule, avg(k / n) AS m, var_pop(k / n) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS v FROM rates GROUP BY rule
+), shrunken AS (
+  SELECT source, rule, CASE WHEN v <= 0 THEN m ELSE (k + m * (m * (1 - m) / v - 1)) / (n + m * (1 - m) / v - 1) END AS rate
+  FROM rates JOIN moments USING (rule)
 ), verdicts AS (
-  SELECT source, (k1 + m1 * s1) / (n + s1) > 0.5 AS b1, (k2 + m2 * s2) / (n + s2) > 0.5 AS b2,
-         (k3 + m3 * s3) / (n + s3) > 0.5 AS b3 FROM hosts, prior
+  SELECT source, max(rate) > 0.5 AS bad, bool_or(rule = 3 AND rate > 0.25) AS b1, bool_or(rule = 4 AND rate > 0.25) AS b2,
+         bool_or(rule = 5 AND rate > 0.25) AS b3
+  FROM shrunken GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT ((b1 AND f1) OR (b2 AND f2) OR (b3 AND f3)) AS kept
+       NOT base_failed AND NOT (bad OR (b1 AND f1) OR (b2 AND f2) OR (b3 AND f3)) AS kept
 FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
 

@@ -49,7 +49,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.judge(documents(spark, sf_dir), Staging(spark), carry=["doc_id"])
+    return host_rules.judge(documents(spark, sf_dir), Staging(spark), carry=["doc_id"]).select("row.*", "*").drop("row")
 
 
 def repair_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:

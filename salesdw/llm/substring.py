@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesdw.staging import Staging
 
@@ -130,23 +131,21 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place, gone = batch.schema.get_field_index("text"), batch.schema.get_field_index("_gone")
-            columns, names = list(batch.columns), list(batch.schema.names)
-            columns[place] = pa.array(cut(columns[place], columns[gone]), batch.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(
-                [c for name, c in zip(names, columns) if name != "_gone"], names=[n for n in names if n != "_gone"]
-            )
+            texts = pa.array(cut(batch.column(1), batch.column(2)), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["row", "text"])
 
     listed = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("_gone"))
     spots = listed.select(document_name().alias("_key"), "_gone")
-    keyed = with_text_hash(docs, "_hash").withColumn("_key", document_name(text_hash="_hash"))
-    joined = keyed.join(spots, "_key", "left").select(*[keyed[name] for name in docs.columns], "_gone")
-    schema = docs.schema
-    result = joined.mapInArrow(rows, schema)
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    keyed = docs.select(whole, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    keyed = keyed.withColumn("_key", document_name("row.doc_id", "_hash"))
+    joined = keyed.join(spots.hint("shuffle_hash"), "_key", "left").select("row", "text", "_gone")
+    result = joined.mapInArrow(rows, T.StructType([joined.schema["row"], T.StructField("text", T.StringType())]))
+    values = {name: F.col(f"row.`{name}`") for name in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = schema["n_chars"].dataType
-        result = result.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return result.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        values["n_chars"] = F.when(F.col("text").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(kind))
+    return result.select(*[value.alias(name) for name, value in values.items()])
 
 
 def remove_repeats(docs: DataFrame, staging: Staging, sentences: bool = True, min_words: int = 6) -> DataFrame:

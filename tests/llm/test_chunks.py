@@ -10,3 +10,11 @@ def test_latin_words_have_the_ids_of_the_library():
     letters = [chr(number) for number in range(0xC0, 0x250)]
     words = letters + ["".join(rng.choices([*letters, *"abcXYZ"], k=rng.randint(1, 12))) for _ in range(2000)]
     assert [word for word in words if known[word] != known.encode(word)] == []
+
+
+def test_random_chunks_have_the_ids_of_the_library():
+    """Letters with marks, letters that decompose or change their number when lower-cased, digits, signs, other scripts."""
+    known, rng = ChunkIds(tokenizer_path(WORD_TOKENIZER)), random.Random(2)
+    signs = [*"abXYZ19.,;'!?-#", *"İıßſŉǰΐﬁ①½ª", "\u0301", "\u0307", "\u0327", "é", "日", "ก", "ั", "👩", "\u200d", "’s", "'s"]
+    chunks = ["İ,", "bİ.", "ŉ,", "ﬁ.", "e\u0301,"] + ["".join(rng.choices(signs, k=rng.randint(1, 7))) for _ in range(5000)]
+    assert [chunk for chunk in chunks if known[chunk] != known.encode(chunk)] == []

@@ -117,7 +117,11 @@ def test_id_store(spark, staging):
     whole = id_store.expand(np.frombuffer(shard["symbols"], "<u4"), np.frombuffer(shard["rules"], "<u4").reshape(-1, 2), shard["first_symbol"])
     assert len(shard["symbols"]) < 4 * shard["n_tokens"] * 0.6
     for start, length in ((0, 1), (7, 100), (shard["n_tokens"] - 1, 1), (3, shard["n_tokens"] - 3)):
-        assert id_store.read_range(shard, start, length).tolist() == whole[start : start + length].tolist()
+        (read,) = id_store.ShardReader(shard).read(np.array([start]), np.array([length]))
+        assert read.tolist() == whole[start : start + length].tolist()
+    # No pair of unlike symbols is left that stands often enough, and the row says what that is.
+    left = Counter(zip(symbols := np.frombuffer(shard["symbols"], "<u4").tolist(), symbols[1:]))
+    assert shard["least"] == 2 and all(times < 2 for (a, b), times in left.items() if a != b)
 
 
 def test_id_store_query(spark):
@@ -201,13 +205,45 @@ def test_quality_query(spark):
 
 def test_quality_odd_rows(spark, staging):
     judged = host_rules.judge(table(spark), staging)
-    rows = {r.doc_id: r for r in judged.collect()}
+    rows = {r.row.doc_id: r for r in judged.collect()}
     assert judged.count() == len(TEXTS)
+    assert {r.row.text_hash for r in judged.collect()} == {"x"}
     assert [rows[i].n_words for i in (1, 4, 5, 6, 9)] == [22, 0, 0, 0, 1]
-    assert rows[7].n_repeat_words == 3000 and rows[7].base_failed and rows[1].kept
+    assert rows[7].n_repeat_words == 3000 and rows[7].base_failed and not rows[1].base_failed
+    # Their one host fails too often, so all of it goes; by itself the first one stays.
+    assert not any(r.kept for r in rows.values())
+    assert host_rules.judge(table(spark, TEXTS[:3]), staging).where("kept").count() == 3
     assert host_rules.judge(table(spark, []), staging).collect() == []
 
 
+def test_host_verdicts(spark, staging):
+    """A bad host loses all its documents, one with many symbols those; a small unlucky host loses only its bad one."""
+    good = " ".join(f"word{n} stands here" for n in range(12))
+    symbols = good + " #" * 12
+    rows = [(good, "fine")] * 400 + [("too short", "fine")] * 8 + [(good, "other")] * 300 + [(symbols, "other")] * 9
+    rows += [(good, "bad")] * 20 + [("too short", "bad")] * 80 + [(good, "symbols")] * 60 + [(symbols, "symbols")] * 40
+    rows += [(good, None)] * 50 + [("short", "unlucky")] + [(good, "unlucky")]
+    docs = spark.createDataFrame([(n, t, s, "k", "h") for n, (t, s) in enumerate(rows)], "doc_id long, text string, source string, kept string, host string")
+    judged = host_rules.judge(docs.repartition(4), staging).collect()
+    kept = Counter((r.row.source, r.row.text == symbols, r.base_failed) for r in judged if r.kept)
+    assert kept == {
+        ("fine", False, False): 400,
+        ("other", False, False): 300,
+        ("other", True, False): 9,
+        ("symbols", False, False): 60,
+        (None, False, False): 50,
+        ("unlucky", False, False): 1,
+    }
+    assert len(judged) == len(rows) and {r.row.kept for r in judged} == {"k"}
+
+
+def test_hosts_of_the_given_tables_differ_by_chance_only(spark, staging):
+    """Why no verdict changes a row there: all rates are far below the bounds."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    verdicts = host_rules.host_verdicts(host_rules.measure(docs, ["doc_id"]), host_rules.HostPolicy()).collect()
+    assert len(verdicts) == 20 and not any(any(row[1:]) for row in verdicts)
+
+
 def plain_units(texts, end, normal, least, measure):
     for doc_id, text in texts:
         for number, (start, stop) in enumerate(substring.spans(text or "", end)):
