@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and their host's verdict keep; the others go."""
-    return host_rules.judge(docs, Staging(spark)).where("kept").select(*docs.columns)
+    return host_rules.judge(docs, Staging(spark)).where("kept").select("row.*")
 
 
 def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +29,13 @@ def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the smallest doc_id, then the text's hash; nulls last."""
-    keyed = substring.with_text_hash(docs, "_hash").withColumn("_key", substring.document_name(text_hash="_hash"))
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("_hash").alias("text_hash")).alias("key")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    keyed = substring.with_text_hash(docs.select(whole, "text"), "_hash")
+    keyed = keyed.withColumn("_key", substring.document_name("row.doc_id", "_hash"))
+    key = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), "row.doc_id", F.col("_hash").alias("text_hash")).alias("key")
     found = simhash.near_duplicates(keyed.select(key, "text"), Staging(spark), key="key")
     kept = found.where("key = component").select(substring.document_name("key.doc_id", "key.text_hash").alias("_key"))
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    return keyed.join(kept.hint("shuffle_hash"), "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
