@@ -5,6 +5,7 @@ from __future__ import annotations
 import array
 import functools
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -37,6 +38,11 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of few rows, so that only one part at a time is held as Python objects."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def in_split(remainder: int, modulus: int, doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves the remainder; a null id never does."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))

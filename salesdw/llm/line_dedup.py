@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesdw.llm.common import slices
 from salesdw.llm.substring import LINE_END, document_name, rank, spans, with_text_hash, without_spans
 from salesdw.operators.ordering import number_rows
 from salesdw.staging import Staging
@@ -61,7 +62,7 @@ def lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """The lines that take part: place, span in the original text, digest and frame keys; a null text has none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found: list[list] = [[] for _ in range(7)]
             for doc_id, text, own in zip(*(column.to_pylist() for column in batch.columns)):
                 for number, (start, stop) in enumerate(spans(text or "", LINE_END)):
@@ -102,7 +103,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     joined = texts.join(lists.hint("shuffle_hash"), "_key").select("text", "entries")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             numbers, texts, shared = [], [], []
             for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 places = {entry["unit"]: entry for entry in chosen}

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesdw.llm.common import slices
 from salesdw.staging import Staging
 
 SENTENCE_END = re.compile(r"[.!?]+[\x20\x09\x0B-\x0D]+|\n")
@@ -112,7 +113,7 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
     Documents are matched by id and text; columns of ``docs`` keep their order, texts without a span their value.
     """
 
-    def cut(texts: pa.ChunkedArray, spans_of: pa.ChunkedArray) -> list[str]:
+    def cut(texts: pa.Array, spans_of: pa.Array) -> list[str]:
         done = []
         for text, gone in zip(texts.to_pylist(), spans_of.to_pylist()):
             if text is not None and gone:
@@ -130,7 +131,7 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
         return done
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = pa.array(cut(batch.column(1), batch.column(2)), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["row", "text"])
 
