@@ -103,7 +103,7 @@ def kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), Staging(spark))
+    found = suffix_dedup.without_repeats(documents(spark, sf_dir), Staging(spark), carry=["doc_id"])
     n_kept = F.octet_length("kept").cast("bigint")
     return found.select(
         "row.doc_id",

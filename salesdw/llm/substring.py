@@ -137,12 +137,12 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
     listed = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("_gone"))
     spots = listed.select(document_name().alias("_key"), "_gone")
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    keyed = docs.select(whole, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("row")
+    keyed = docs.select(others, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
     keyed = keyed.withColumn("_key", document_name("row.doc_id", "_hash"))
     joined = keyed.join(spots.hint("shuffle_hash"), "_key", "left").select("row", "text", "_gone")
     result = joined.mapInArrow(rows, T.StructType([joined.schema["row"], T.StructField("text", T.StringType())]))
-    values = {name: F.col(f"row.`{name}`") for name in docs.columns} | {"text": F.col("text")}
+    values = {name: F.col("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         values["n_chars"] = F.when(F.col("text").isNull(), F.col("row.n_chars")).otherwise(F.length("text").cast(kind))

@@ -301,17 +301,17 @@ def repeated_spans(
     )
 
 
-def without_repeats(docs: DataFrame, staging: Staging, **settings) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (a struct of all its columns), n_bytes, spans, kept.
+def without_repeats(docs: DataFrame, staging: Staging, carry: list[str] | None = None, **settings) -> DataFrame:
+    """One row per row of ``docs``: ``row`` (a struct of its ``carry`` columns, all by default), n_bytes, spans, kept.
 
     ``spans`` are the maximal removed runs of bytes in order, ``kept`` the other bytes; these need not be whole
     characters. ``settings`` are those of ``repeated_spans``.
     """
     spans = repeated_spans(docs, staging, **settings)
     lists = spans.groupBy(document_name().alias("_key")).agg(F.collect_set(F.struct("start", "length")).alias("_gone"))
-    kept_row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    rows_of = docs.select(kept_row, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
-    keyed = rows_of.withColumn("_key", document_name("row.doc_id", "_hash"))
+    kept_row = F.struct(*[F.col(f"`{name}`") for name in (docs.columns if carry is None else carry)]).alias("row")
+    rows_of = docs.select(kept_row, "text", F.col("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    keyed = rows_of.withColumn("_key", document_name("_id", "_hash")).select("row", "text", "_key")
     joined = keyed.join(lists.hint("shuffle_hash"), "_key", "left").select("row", "text", "_gone")
 
     def merged(gone: pa.ListScalar) -> list[tuple[int, int]]:
