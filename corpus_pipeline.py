@@ -17,35 +17,51 @@ from salesdw.staging import Staging
 ORACLE_SQL = None
 
 
+_staged: list[Staging] = []
+
+
+def _staging(spark: SparkSession, docs: DataFrame) -> Staging:
+    """A folder for one stage's tables. Those of earlier stages go as soon as a stage starts on rows that do not read them,
+    as their results are written by then."""
+    files = docs.inputFiles()
+    for old in [one for one in _staged if not any(one.path in file for file in files)]:
+        if old.spark.sparkContext._jsc and old.spark.sparkContext.applicationId == spark.sparkContext.applicationId:
+            old.release()
+        _staged.remove(old)
+    _staged.append(Staging(spark))
+    return _staged[-1]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and their host's verdict keep; the others go."""
-    return host_rules.judge(docs, Staging(spark)).where("kept").select("row.*")
+    return host_rules.judge(docs, _staging(spark, docs)).where("kept").select("row.*")
 
 
 def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier line matches within one edit."""
-    return line_dedup.remove_lines(docs, Staging(spark))
+    return line_dedup.remove_lines(docs, _staging(spark, docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the smallest doc_id, then the text's hash; nulls last."""
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    keyed = substring.with_text_hash(docs.select(whole, "text"), "_hash")
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("row")
+    keyed = substring.with_text_hash(docs.select(others, "text"), "_hash")
     keyed = keyed.withColumn("_key", substring.document_name("row.doc_id", "_hash"))
     key = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), "row.doc_id", F.col("_hash").alias("text_hash")).alias("key")
-    found = simhash.near_duplicates(keyed.select(key, "text"), Staging(spark), key="key")
+    found = simhash.near_duplicates(keyed.select(key, "text"), _staging(spark, docs), key="key")
     kept = found.where("key = component").select(substring.document_name("key.doc_id", "key.text_hash").alias("_key"))
-    return keyed.join(kept.hint("shuffle_hash"), "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")
+    stayed = keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"])
+    return stayed.select(*[F.col("text") if name == "text" else F.col(f"row.`{name}`") for name in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without sentences that stand in an earlier place."""
-    return substring.remove_repeats(docs, Staging(spark))
+    return substring.remove_repeats(docs, _staging(spark, docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    staging = Staging(spark)
+    staging = _staging(spark, docs)
     cut = packing.cut_documents(docs, tokenizer_path(WORD_TOKENIZER), SEQUENCE_IDS)
     facts = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(staging.put(facts, "pieces"), staging, SEQUENCE_IDS)[0]
