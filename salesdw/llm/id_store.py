@@ -36,12 +36,12 @@ def compress(ids: np.ndarray, first_symbol: int, pairs_a_round: int, least: int)
         cell = ((pairs * CELL) >> np.uint64(44)).view(np.int64)
         full = np.bincount(cell, minlength=1 << 20) >= least
         found, times = np.unique(pairs[full[cell]], return_counts=True)
-        often = np.flatnonzero(times >= least)
-        often = often[np.argsort(-times[often], kind="stable")][: 4 * pairs_a_round]
+        often = np.flatnonzero((times >= least) & (found >> np.uint64(32) != found & np.uint64(0xFFFFFFFF)))
+        often = often[np.argsort(-times[often], kind="stable")]
         lefts, rights, chosen = set(), set(), []
         for pair in found[often].tolist():
             left, right = pair >> 32, pair & 0xFFFFFFFF
-            if left == right or left in rights or right in lefts:
+            if left in rights or right in lefts:
                 continue
             lefts.add(left)
             rights.add(right)
@@ -113,7 +113,7 @@ def encode_shards(
     end_id: int = END_ID,
     partitions: int | None = None,
     shard_tokens: int = 1_000_000,
-    pairs_a_round: int = 512,
+    pairs_a_round: int = 2048,
     least: int = 16,
 ) -> DataFrame:
     """Shards of all documents in ascending doc_id order, null ids first, equal ids ordered by text.
