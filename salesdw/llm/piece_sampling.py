@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ class Lattices:
     the sorted keys node * characters + character, for many places of the texts at once.
     """
 
-    def __init__(self, path: str, arcs: int = 3_000_000):
+    def __init__(self, path: str, arcs: int = 2_000_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.limit = arcs
         self.piece: dict[str, tuple[int, float]] = {}
@@ -106,7 +107,9 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.starts: dict[str, tuple[int, ...]] = {}  # where the parts of a chunk begin
+        # By chunk, its number. Per chunk: its first part. Per part: the state where it begins.
+        self.starts: dict[str, int] = {}
+        self.part_at, self.parts = array.array("q", [0]), array.array("q")
         # Per state: its first arc. Per arc: the bound, the next state (-1: the end), the log probability, its ids.
         self.first, self.bound = array.array("q", [0]), array.array("d")
         self.to, self.logp = array.array("q"), array.array("d")
@@ -131,9 +134,9 @@ class Lattices:
         state = len(self.first) - 1
         self._arcs(codes, letters, end, state)
         self.fresh.frombytes((end - np.arange(len(codes))).tobytes())
-        parts = (begin + state).tolist()
-        edges = [0, *np.searchsorted(begin, chunk_ends).tolist()]
-        self.starts.update((chunk, tuple(parts[low:high])) for chunk, low, high in zip(new, edges, edges[1:]))
+        self.part_at.frombytes((np.searchsorted(begin, chunk_ends) + len(self.parts)).tobytes())
+        self.parts.frombytes((begin + state).tobytes())
+        self.starts.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
 
     def _arcs(self, codes: np.ndarray, letters: np.ndarray, end: np.ndarray, state: int) -> None:
         """The arcs of every place in order: by length, bytes last."""
@@ -209,9 +212,16 @@ class Lattices:
         self.bound.frombytes((np.repeat(np.arange(state, state + len(left)), sizes) + inner).tobytes())
         self.fresh = array.array("q")
 
-    def of_chunks(self, chunks: list[str]) -> np.ndarray:
-        """States where the parts of a text begin, in order."""
-        return np.array(list(itertools.chain.from_iterable(map(self.starts.__getitem__, chunks))), np.int64)
+    def of_texts(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """For each text the states where its parts begin, in order."""
+        sizes = [len(chunks) for chunks in texts]
+        chunk = np.fromiter(map(self.starts.__getitem__, itertools.chain.from_iterable(texts)), np.int64, sum(sizes))
+        first = np.frombuffer(self.part_at, np.int64)
+        begin, size = first[chunk], first[chunk + 1] - first[chunk]
+        ends = np.cumsum(size)
+        states = np.frombuffer(self.parts, np.int64)[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        edges = np.concatenate([[0], ends])[np.cumsum(sizes)[:-1]]
+        return np.split(states, edges)
 
 
 class View:
@@ -353,7 +363,7 @@ def sample_texts(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int
     chunks = [chunks_of(text) for text in texts]
     lattices.prepare(chunks)
     lattices.weigh()
-    parts = [lattices.of_chunks(own) for own in chunks]
+    parts = lattices.of_texts(chunks)
     view = View(lattices)
     searches = [Search(seed, own, k) for seed, own in zip(seeds, parts)]
     for number in range(k):
@@ -380,20 +390,67 @@ def sample_texts(lattices: Lattices, texts: list[str], seeds: np.ndarray, k: int
     return results
 
 
-def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int = 2, texts_at_once: int = 64) -> DataFrame:
+class Spelling:
+    """The bytes of every piece, laid end to end; decoding copies them piece by piece."""
+
+    def __init__(self, path: str):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        texts = []
+        for number in range(model.get_piece_size()):
+            if model.is_byte(number):
+                texts.append(bytes([int(model.id_to_piece(number)[3:5], 16)]))
+            elif model.is_control(number):
+                texts.append(b"")
+            elif model.is_unknown(number):
+                texts.append(model.decode([number]).encode())
+            else:
+                texts.append(model.id_to_piece(number).replace(SPACE, " ").encode())
+        self.width = np.array([len(text) for text in texts])
+        self.at = np.cumsum(self.width) - self.width
+        self.bytes = np.frombuffer(b"".join(texts), np.uint8)
+
+    def text(self, ids: np.ndarray) -> str:
+        width = self.width[ids]
+        place = np.repeat(self.at[ids] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        spelled = self.bytes[place].tobytes().decode("utf-8", "replace")
+        return spelled[1:] if spelled[:1] == " " else spelled
+
+
+@functools.lru_cache(maxsize=1)
+def shared_spelling(path: str) -> Spelling:
+    return Spelling(path)
+
+
+def text_slices(batch: pa.RecordBatch, rows: int, letters: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most so many rows, and of at most so many letters if they have several rows."""
+    sizes = pc.utf8_length(batch.column("_text")).to_pylist()
+    at = held = 0
+    for place, size in enumerate(sizes):
+        if place > at and (place - at >= rows or held + size > letters):
+            yield batch.slice(at, place - at)
+            at, held = place, 0
+        held += size
+    if sizes:
+        yield batch.slice(at)
+
+
+def sample_segmentations(
+    docs: DataFrame, path: str, carry: list[str], k: int = 2, texts_at_once: int = 64, letters_at_once: int = 250_000, spelled: bool = False
+) -> DataFrame:
     """Up to ``k`` rows per row of ``docs``: the ``carry`` columns, sample (from 1, by perturbed value), n_pieces,
-    log_prob, perturbed, inclusion and ids (little-endian unsigned 32-bit).
+    log_prob, perturbed, inclusion and ids (little-endian unsigned 32-bit). With ``spelled`` also ``decoded``, what
+    ``decode`` makes of the ids, without a second Python worker.
 
     The row's key is its first ``carry`` column and its text, so repeated rows get the same samples. A null or empty
-    text has one segmentation, of no pieces. A text with fewer than ``k`` segmentations has one row for each.
+    text has one segmentation, of no pieces. A text with fewer than ``k`` segmentations has one row for each. Texts
+    are worked on in groups of ``texts_at_once``, or fewer beyond ``letters_at_once``; groups change no result.
     """
     seeded = docs.select(*carry, F.coalesce(F.col("text"), F.lit("")).alias("_text"), F.xxhash64(carry[0], F.coalesce(F.col("text"), F.lit(""))).alias("_seed"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = shared_lattices(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, texts_at_once):
-                part = batch.slice(at, texts_at_once)
+            for part in text_slices(batch, texts_at_once, letters_at_once):
                 seeds = part.column("_seed").to_numpy(zero_copy_only=False).view(np.uint64)
                 found = sample_texts(lattices, part.column("_text").to_pylist(), seeds, k)
                 if len(lattices.bound) > lattices.limit:
@@ -401,6 +458,7 @@ def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int =
                 owner = pa.array(np.repeat(np.arange(len(found)), [len(one) for one in found]))
                 flat = [row for one in found for row in one]
                 columns = [part.column(name).take(owner) for name in carry]
+                texts = [pa.array([shared_spelling(path).text(row[1]) for row in flat], pa.string())] if spelled else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         *columns,
@@ -408,45 +466,20 @@ def sample_segmentations(docs: DataFrame, path: str, carry: list[str], k: int =
                         pa.array([len(row[1]) for row in flat], pa.int32()),
                         *(pa.array([row[n] for row in flat], pa.float64()) for n in (2, 3, 4)),
                         pa.array([row[1].astype("<u4").tobytes() for row in flat], pa.binary()),
+                        *texts,
                     ],
-                    names=[*carry, "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids"],
+                    names=[*carry, "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *(["decoded"] if spelled else [])],
                 )
 
     fields = ", ".join(f"`{name}` {seeded.schema[name].dataType.simpleString()}" for name in carry)
-    return seeded.mapInArrow(rows, f"{fields}, {SCHEMA}")
-
-
-class Spelling:
-    """The bytes of every piece, laid end to end; decoding copies them piece by piece."""
-
-    def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        texts = []
-        for number in range(model.get_piece_size()):
-            if model.is_byte(number):
-                texts.append(bytes([int(model.id_to_piece(number)[3:5], 16)]))
-            elif model.is_control(number):
-                texts.append(b"")
-            elif model.is_unknown(number):
-                texts.append(model.decode([number]).encode())
-            else:
-                texts.append(model.id_to_piece(number).replace(SPACE, " ").encode())
-        self.width = np.array([len(text) for text in texts])
-        self.at = np.cumsum(self.width) - self.width
-        self.bytes = np.frombuffer(b"".join(texts), np.uint8)
-
-    def text(self, ids: np.ndarray) -> str:
-        width = self.width[ids]
-        place = np.repeat(self.at[ids] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-        spelled = self.bytes[place].tobytes().decode("utf-8", "replace")
-        return spelled[1:] if spelled[:1] == " " else spelled
+    return seeded.mapInArrow(rows, f"{fields}, {SCHEMA}" + (", decoded string" if spelled else ""))
 
 
 def decode(samples: DataFrame, path: str, carry: list[str]) -> DataFrame:
     """The ``carry`` columns and the ``text`` that ``ids`` stand for; the space put before a text is taken off."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Spelling(path)
+        spelling = shared_spelling(path)
         for batch in batches:
             texts = [spelling.text(np.frombuffer(ids or b"", "<u4")) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(

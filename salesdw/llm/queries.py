@@ -85,12 +85,10 @@ def gumbel_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two samples a document; ``decodes`` says whether the library turns the pieces into the text again."""
     path = tokenizer_path(PIECE_TOKENIZER)
     docs = documents(spark, sf_dir).withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    facts = ["doc_id", "text_crc32", "sample", "n_pieces", "log_prob", "perturbed", "inclusion"]
-    samples = piece_sampling.sample_segmentations(docs, path, ["doc_id", "text_crc32"])
-    crc = F.crc32("ids").alias("ids_crc32")
-    texts = piece_sampling.decode(samples.select("*", crc), path, [*facts, "ids_crc32"])
-    decodes = (F.crc32(F.col("text").cast("binary")) == F.col("text_crc32")).alias("decodes")
-    return texts.select("doc_id", *facts[2:], "ids_crc32", decodes)
+    samples = piece_sampling.sample_segmentations(docs, path, ["doc_id", "text_crc32"], spelled=True)
+    decodes = (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("decodes")
+    facts = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion"]
+    return samples.select(*facts, F.crc32("ids").alias("ids_crc32"), decodes)
 
 
 def line_dedup_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
