@@ -67,7 +67,7 @@ class Lattices:
     the sorted keys node * characters + character, for many places of the texts at once.
     """
 
-    def __init__(self, path: str, arcs: int = 2_000_000):
+    def __init__(self, path: str, arcs: int = 6_000_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.limit = arcs
         self.piece: dict[str, tuple[int, float]] = {}
@@ -101,9 +101,11 @@ class Lattices:
         self.number[list(ends)] = [number for number, _ in ends.values()]
         self.weight = np.zeros(len(child) + 1)
         self.weight[list(ends)] = [weight for _, weight in ends.values()]
-        # Neighbours in some piece, as left * characters + right.
+        # Whether two characters are neighbours in some piece, at left * characters + right.
         places = [self.letter[[ord(one) for one in text]].astype(np.int64) for text in self.piece if len(text) > 1]
-        self.inner = np.unique(np.concatenate([at[:-1] * self.width + at[1:] for at in places] or [np.zeros(0, np.int64)]))
+        self.inner = np.zeros(self.width**2, bool)
+        for at in places:
+            self.inner[at[:-1] * self.width + at[1:]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -126,7 +128,7 @@ class Lattices:
         letters = self.letter[codes].astype(np.int64)
         chunk_ends = np.cumsum([len(chunk) for chunk in new])
         begins = np.ones(len(codes), bool)
-        begins[1:] = ~_among(self.inner, letters[:-1] * self.width + letters[1:])[1]
+        begins[1:] = ~self.inner[letters[:-1] * self.width + letters[1:]]
         begins[chunk_ends[:-1]] = True
         begin = np.flatnonzero(begins)
         sizes = np.diff(np.append(begin, len(codes)))
@@ -331,7 +333,10 @@ class Search:
         if len(walked):
             aside = self.asides(before, logs)
             values = _below(aside, self.value, self.uniform(len(aside)))
-            best = np.argsort(-values, kind="stable")[: self.k + 1]
+            best = np.arange(len(values))
+            if len(values) > self.k + 1:
+                best = np.sort(np.argpartition(-values, self.k)[: self.k + 1])
+            best = best[np.argsort(-values[best], kind="stable")]
             owner = np.repeat(np.arange(len(counts)), counts)
             start = self.part + (0 if self.inside else (1 if len(self.path) else 0))
             for at in best.tolist():
