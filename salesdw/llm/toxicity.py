@@ -208,11 +208,14 @@ def term_counts(texts: DataFrame, only: frozenset[str] | None = None) -> DataFra
 def one_of_copies(texts: DataFrame) -> DataFrame:
     """Of rows that are likely near copies one stays, so that a much copied text does not fill the lexicon.
 
-    Rows count as copies when the two smallest hashes of their words agree; this only thins the learning sample.
+    Rows count as copies when the two smallest hashes of their words agree; this only thins the learning sample. A
+    toxic copy stays before others, then the one whose id and text have the largest hash, whatever the rows' order.
     """
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[\x20\x09-\x0D]+"))
     least = F.slice(F.sort_array(F.transform(words, lambda word: F.xxhash64(word))), 1, 2)
-    return texts.withColumn("_sketch", least).dropDuplicates(["_sketch"]).drop("_sketch")
+    rank = F.struct("toxic", F.xxhash64("doc_id", "text"), "doc_id", "text")
+    chosen = texts.groupBy(least.alias("_sketch")).agg(F.max_by(F.struct(*texts.columns), rank).alias("row"))
+    return chosen.select("row.*")
 
 
 def choose_terms(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int, fitting: Fitting) -> Trie:

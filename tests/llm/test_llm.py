@@ -406,6 +406,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit >= 0.6 * sum(labels[r.doc_id] for r in held) and hit >= 0.8 * sum(r.predicted for r in held)
 
 
+def test_copies_are_thinned_in_any_order(spark):
+    rows = [(1, "you are a fool", 0), (2, "you are a fool", 1), (3, "you are a fool", 1), (4, "another text", 0), (5, None, 0), (5, None, 0)]
+    results = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        for parts in (1, 3):
+            texts = spark.createDataFrame(order, "doc_id long, text string, toxic int").repartition(parts)
+            results.add(frozenset((r.doc_id, r.text, r.toxic) for r in toxicity.one_of_copies(texts).collect()))
+    (kept,) = results
+    assert len(kept) == 3 and {(4, "another text", 0), (5, None, 0)} < kept and next(r for r in kept if r[0] in (1, 2, 3))[2] == 1
+
+
 def test_toxicity_without_labels(spark, staging):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(table(spark), labels, staging)
