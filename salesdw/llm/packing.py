@@ -10,6 +10,7 @@ Only row-sized facts move between the rounds, and a task never holds more than a
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -102,13 +103,19 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
 
 
 def pack(
-    pieces: DataFrame, staging: Staging, capacity: int, per_group: int = 20_000, rounds: int = 4
+    pieces: DataFrame, staging: Staging, capacity: int, per_group: int = 20_000
 ) -> tuple[DataFrame, DataFrame]:
-    """``pieces`` with sequence_id and offset, and the groups' certificates (round, group, sequences, bound).
+    """``pieces`` with sequence_id, offset, group_sequences and group_bound; and all certificates (round, group,
+    sequences, bound).
 
+    Sequences with room are exchanged and packed again until a round saves none. The group's columns belong to the
+    group that packed a sequence last: equal, they certify that no packing of its pieces has fewer sequences.
+    Columns of ``pieces`` with one of the four names are replaced.
     ``pieces`` needs a ``length`` between 1 and ``capacity``, which must not be null; other columns are carried
     along, so leave out large ones. Repeated rows are packed each on its own. An empty table stays empty.
     """
+    own = ["sequence_id", "offset", "group_sequences", "group_bound"]
+    pieces = pieces.drop(*own)
     names = pieces.columns
     kept_fields = [*pieces.schema.fields]
     packed_schema = T.StructType(
@@ -118,8 +125,9 @@ def pack(
             T.StructField("offset", T.LongType()),
             T.StructField("_open", T.BooleanType()),
             T.StructField("_group", T.LongType()),
-            T.StructField("_sequences", T.LongType()),
-            T.StructField("_bound", T.LongType()),
+            T.StructField("group_sequences", T.LongType()),
+            T.StructField("group_bound", T.LongType()),
+            T.StructField("_given", T.LongType()),
         ]
     )
 
@@ -129,7 +137,7 @@ def pack(
             group = table.column("_group")[0].as_py()
             bins, offsets = best_fit_decreasing(sizes, capacity)
             made = int(bins.max()) + 1
-            ids = (number << 56) + (group << 24) + bins
+            ids = (number << 50) + (group << 18) + bins
             if number:
                 old = table.column("sequence_id").to_numpy()
                 before, place = np.unique(old, return_inverse=True)
@@ -141,7 +149,7 @@ def pack(
             result = table.select(names)
             for name, values in (("sequence_id", ids), ("offset", offsets), ("_open", given[bins])):
                 result = result.append_column(name, pa.array(values))
-            for name, value in (("_group", group), ("_sequences", made), ("_bound", bound)):
+            for name, value in (("_group", group), ("group_sequences", made), ("group_bound", bound), ("_given", int(given.sum()))):
                 result = result.append_column(name, pa.array(np.full(len(sizes), value, np.int64)))
             return result
 
@@ -150,20 +158,24 @@ def pack(
     done, reports = [], []
     current = pieces.withColumn("_place", F.monotonically_increasing_id())
     spread = "_place"
-    for number in range(rounds + 1):
+    waiting = None
+    for number in itertools.count():
         rows = current.count()
         groups = max(1, math.ceil(rows / per_group))
         dealt = current.withColumn("_group", F.pmod(F.xxhash64(F.col(spread), F.lit(number)), F.lit(groups)))
         wanted = [*names, "_group"] if number == 0 else [*names, "_group", "sequence_id", "offset"]
         packed = dealt.select(*wanted).groupBy("_group").applyInArrow(repack(number), packed_schema)
         state = staging.put(packed, f"packed-{number}")
-        report = state.groupBy("_group").agg(F.first("_sequences").alias("sequences"), F.first("_bound").alias("bound"))
+        facts = ("group_sequences", "sequences"), ("group_bound", "bound"), ("_given", "given")
+        report = state.groupBy("_group").agg(*[F.first(fact).alias(name) for fact, name in facts])
+        made, given = report.agg(F.sum("sequences"), F.sum("given")).first()
         reports.append(report.select(F.lit(number).alias("round"), F.col("_group").alias("group"), "sequences", "bound"))
-        last = rows == 0 or groups == 1 and number > 0 or number == rounds
+        last = rows == 0 or number > 0 and (groups == 1 or made >= waiting)
         finished = state if last else state.where(~F.col("_open"))
-        done.append(finished.select(*names, "sequence_id", "offset"))
+        done.append(finished.select(*names, *own))
         if last:
             break
+        waiting = given
         current, spread = state.where("_open").select(*names, "sequence_id", "offset"), "sequence_id"
     result, certificates = done[0], reports[0]
     for part in done[1:]:
