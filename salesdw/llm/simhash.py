@@ -8,14 +8,14 @@ before the full Hamming distance.
 
 Copies share a fingerprint and are one node. A key's fingerprints are not paired with each other: a search from one
 of them reaches those within the distance that have not been reached yet, and only its tree of links is returned.
-A key with more than ``largest_run`` distinct fingerprints is not held at all: its fingerprints are linked through
-common variants with few flipped bits, which is as exact and has no groups.
+A key with more than ``largest_run`` distinct fingerprints is not held at all: its bits are joined by one part of the
+chain's next segments, once for each of k + 1 parts, of which one must be equal too; and so on until every key is small.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +124,8 @@ def _tree(values: np.ndarray, start: int, distance: int) -> list[np.ndarray]:
 
 
 def _links(distance: int, small_run: int, largest_run: int):
-    """Over (key, fingerprint) rows sorted by key: links a-b; b is null for fingerprints of oversized keys."""
+    """Over (key, fingerprint, mask) rows sorted by key: links a-b. Rows of oversized keys are given back: the
+    fingerprint as a, no b, key and mask."""
 
     def finished(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
         found = []
@@ -143,22 +144,27 @@ def _links(distance: int, small_run: int, largest_run: int):
         return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.uint64)
 
     def batch_of(links: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(side.view(np.int64)) for side in np.ascontiguousarray(links)], names=["a", "b"])
+        sides = [pa.array(side.view(np.int64)) for side in np.ascontiguousarray(links)]
+        empty = pa.nulls(links.shape[1], pa.int64())
+        return pa.RecordBatch.from_arrays([*sides, empty, empty], names=["a", "b", "key", "mask"])
 
-    def lone(values: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.nulls(len(values), pa.int64())], names=["a", "b"])
+    def lone(key: np.uint64, mask: np.uint64, values: np.ndarray) -> pa.RecordBatch:
+        same = [pa.array(np.full(len(values), one).view(np.int64)) for one in (key, mask)]
+        columns = [pa.array(values.view(np.int64)), pa.nulls(len(values), pa.int64()), *same]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "key", "mask"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        oversized = None
+        oversized = mask = None
         for batch in batches:
-            more = batch.column(0).to_numpy().view(np.uint64)
-            own = batch.column(1).to_numpy().view(np.uint64)
+            if not batch.num_rows:
+                continue
+            more, own, masks = (column.to_numpy().view(np.uint64) for column in batch.columns)
             if oversized is not None:
                 same = more == oversized
                 if same.any():
-                    yield lone(own[same])
-                more, own = more[~same], own[~same]
+                    yield lone(oversized, mask, own[same])
+                more, own, masks = more[~same], own[~same], masks[~same]
                 if not len(more):
                     continue
                 oversized = None
@@ -168,35 +174,58 @@ def _links(distance: int, small_run: int, largest_run: int):
                 yield batch_of(finished(keys[:last], values[:last]))
                 keys, values = keys[last:], values[last:]
             if len(keys) > largest_run:
-                yield lone(values)
-                oversized, keys, values = keys[0], keys[:0], values[:0]
+                oversized, mask = keys[-1], masks[-1]
+                yield lone(oversized, mask, values)
+                keys, values = keys[:0], values[:0]
         if len(keys):
             yield batch_of(finished(keys, values))
 
     return rows
 
 
-def _by_variants(values: DataFrame, distance: int) -> DataFrame:
-    """Links among ``fingerprint`` values through variants: few flips on one side, the rest on the other."""
+def key_masks(distance: int) -> np.ndarray:
+    """The bits of a fingerprint that a key of ``chain_keys`` holds, by the key's tag."""
+    ends = chain_ends(distance)
+    exact = SEGMENT_BITS * ends[0]
+    near = SEGMENT_BITS * (ends[1] - ends[0]) if distance > 1 else 0
+    masks = []
+    for start in range(SEGMENTS):
+        for half in range(2):
+            low = near // 2 if half == 0 else near - near // 2
+            turned = ((1 << exact) - 1) << (64 - exact) | ((1 << low) - 1) << (64 - exact - half * (near // 2) - low)
+            masks.append((turned >> SEGMENT_BITS * start | turned << (64 - SEGMENT_BITS * start)) % (1 << 64))
+    return np.array(masks, np.uint64)
 
-    def variants(most: int):
-        flips = [sum(1 << bit for bit in bits) for n in range(most + 1) for bits in itertools.combinations(range(64), n)]
-        masks = np.array(flips, np.uint64)
 
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = batch.column(0).to_numpy().view(np.uint64)
-                for at in range(0, len(own), 256):
-                    part = own[at : at + 256]
-                    made = (part[:, None] ^ masks[None, :]).ravel()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(made.view(np.int64)), pa.array(np.repeat(part, len(masks)).view(np.int64))], names=["variant", "fingerprint"]
-                    )
+@lru_cache(maxsize=4096)
+def finer_masks(mask: int, start: int, distance: int) -> list[int]:
+    """``mask`` and one of distance + 1 parts of the other bits, taken along the ring from the chain's start."""
+    ring = [(63 - SEGMENT_BITS * start - at) % 64 for at in range(64)]
+    free = [bit for bit in ring if not mask >> bit & 1]
+    cuts = [len(free) * part // (distance + 1) for part in range(distance + 2)]
+    return [mask | sum(1 << bit for bit in free[begin:end]) for begin, end in zip(cuts, cuts[1:])]
 
-        return values.select("fingerprint").mapInArrow(rows, "variant long, fingerprint long")
 
-    hubs = variants(distance // 2).groupBy("variant").agg(F.min("fingerprint").alias("a"))
-    return variants(distance - distance // 2).join(hubs, "variant").select("a", F.col("fingerprint").alias("b"))
+def finer_keys(distance: int):
+    """Over (key, fingerprint, mask) rows: the same rows under keys of more bits, with the masks of these."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, values, masks = (column.to_numpy().view(np.uint64) for column in batch.columns)
+            tags = keys & np.uint64(31)
+            for mask, tag in set(zip(masks.tolist(), tags.tolist())):
+                own = values[(masks == np.uint64(mask)) & (tags == np.uint64(tag))]
+                for finer in finer_masks(mask, tag >> 1, distance):
+                    # A mixed hash; values that meet by chance are parted by the distance.
+                    with np.errstate(over="ignore"):
+                        mixed = (own & np.uint64(finer)) ^ np.uint64(finer) * np.uint64(0x9E3779B97F4A7C15)
+                        for turn, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                            mixed = (mixed ^ mixed >> np.uint64(turn)) * np.uint64(factor)
+                    key = (mixed ^ mixed >> np.uint64(31)) & ~np.uint64(31) | np.uint64(tag)
+                    columns = [key, own, np.full(len(own), finer, np.uint64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)) for one in columns], names=["key", "fingerprint", "mask"])
+
+    return rows
 
 
 def near_components(
@@ -208,20 +237,29 @@ def near_components(
     """
     spark = marks.sparkSession
     distinct = marks.select("fingerprint").distinct()
+    masks = key_masks(distance)
+    schema = "key long, fingerprint long, mask long"
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy().view(np.uint64)
             keys, place = chain_keys(own, distance)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(own[place].view(np.int64))], names=["key", "fingerprint"])
+            columns = [keys, own[place], masks[(keys & np.uint64(31)).astype(np.int64)]]
+            yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)) for one in columns], names=["key", "fingerprint", "mask"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = distinct.mapInArrow(keyed, "key long, fingerprint long").repartition(parts, "key").sortWithinPartitions("key")
-    found = staging.put(dealt.mapInArrow(_links(distance, small_run, largest_run), "a long, b long"), "near")
-    links = found.where("b is not null")
-    crowded = found.where("b is null").select(F.col("a").alias("fingerprint")).distinct()
-    if not crowded.isEmpty():
-        links = links.unionByName(_by_variants(crowded, distance))
+    # Fingerprints that may differ in no more bits than the distance are few and need no further split.
+    search = _links(distance, small_run, max(largest_run, 1 << distance))
+    rows, links, level = distinct.mapInArrow(keyed, schema), None, 0
+    while links is None or not crowded.isEmpty():
+        if level:
+            rows = crowded.mapInArrow(finer_keys(distance), schema)
+        dealt = rows.repartition(parts, "key").sortWithinPartitions("key")
+        found = staging.put(dealt.mapInArrow(search, "a long, b long, key long, mask long"), f"near-{level}")
+        own = found.where("b is not null").select("a", "b")
+        links = links.unionByName(own) if level else own
+        crowded = found.where("b is null").select("key", F.col("a").alias("fingerprint"), "mask")
+        level += 1
     return components(links, staging).select(F.col("node").alias("fingerprint"), "root")
 
 
