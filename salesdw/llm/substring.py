@@ -1,9 +1,9 @@
 """Exact duplicates of text units across documents.
 
-A unit is a sentence of a line (``sentences=True``) or a whole line. It is normalised to its letters and digits in
-lower case, so case, spacing and punctuation do not matter, and digested. The earliest occurrence of a digest stays,
-by doc_id (null last), then text, then place; every other one is removed. Units of fewer than ``min_words`` words
-are left alone, as short ones meet by chance.
+Every line with a letter or digit is a unit. So is, inside a line, each sentence of ``sentence_words`` words or more,
+which finds passages that stand in the middle of a line. A unit is normalised to its letters and digits in lower case,
+so case, spacing and punctuation do not matter, and digested. The earliest occurrence of a digest stays, by doc_id
+(null last), then text, then place; every other one is removed. A removed line's sentences may be listed beside it.
 
 Grouping moves digests only, reduced before they move, so a line that every document holds is one row a task.
 """
@@ -57,22 +57,36 @@ def normalised(unit: str) -> str:
     return NOT_WORD.sub(" ", unit.lower()).strip()
 
 
-def units(docs: DataFrame, sentences: bool = True, min_words: int = 6) -> DataFrame:
-    """The units that can be removed, with their original offsets; a null text has none."""
-    end = SENTENCE_END if sentences else LINE_END
+def line_units(text: str, min_words: int, sentence_words: int | None) -> Iterator[tuple[int, int, str]]:
+    """Span and normalised text of each line that has ``min_words`` and of its sentences, which follow it."""
+    for start, stop in spans(text, LINE_END):
+        line = text[start:stop]
+        whole = normalised(line)
+        if not whole:
+            continue
+        if whole.count(" ") + 1 >= min_words:
+            yield start, stop, whole
+        if sentence_words is not None and whole.count(" ") + 1 > sentence_words:
+            for begin, end in spans(line, SENTENCE_END):
+                plain = normalised(line[begin:end])
+                if plain.count(" ") + 1 >= sentence_words and plain != whole:
+                    yield start + begin, start + end, plain
+
+
+def units(docs: DataFrame, min_words: int = 1, sentence_words: int | None = 6) -> DataFrame:
+    """The units that can be removed, with their original offsets; a null text has none.
+
+    Lines of fewer than ``min_words`` words (1: none) are no units; ``sentence_words=None`` takes lines alone.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[list] = [[] for _ in range(6)]
             for doc_id, text, own in zip(*(column.to_pylist() for column in batch.columns)):
-                if not text:
-                    continue
-                for number, (start, stop) in enumerate(spans(text, end)):
-                    plain = normalised(text[start:stop])
-                    if plain.count(" ") + 1 >= min_words:
-                        digest = xxhash.xxh3_128_digest(plain.encode())
-                        for column, value in zip(found, (doc_id, own, number, start, stop - start, digest)):
-                            column.append(value)
+                for number, (start, stop, plain) in enumerate(line_units(text or "", min_words, sentence_words)):
+                    digest = xxhash.xxh3_128_digest(plain.encode())
+                    for column, value in zip(found, (doc_id, own, number, start, stop - start, digest)):
+                        column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(found, kinds)],
@@ -149,7 +163,7 @@ def without_spans(docs: DataFrame, removed: DataFrame) -> DataFrame:
     return result.select(*[value.alias(name) for name, value in values.items()])
 
 
-def remove_repeats(docs: DataFrame, staging: Staging, sentences: bool = True, min_words: int = 6) -> DataFrame:
+def remove_repeats(docs: DataFrame, staging: Staging, min_words: int = 1, sentence_words: int | None = 6) -> DataFrame:
     """``docs`` without repeated units; documents themselves all stay, also those that end up empty."""
-    found = staging.put(units(docs, sentences, min_words), "units")
+    found = staging.put(units(docs, min_words, sentence_words), "units")
     return without_spans(docs, repeated(found))
