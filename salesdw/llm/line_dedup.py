@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, single blanks). Two lines match when they are equal or one insertion, deletion or
 replacement of a character apart. A line goes when an earlier line matches it, whether or not that one stays; order
-is doc_id (null last), text, place. Lines of fewer than ``min_chars`` characters stay.
+is doc_id (null last), text, place. Blank lines stay, and lines of fewer than ``min_chars`` characters.
 
 A line of n characters has n variants with one character deleted. They are emitted only where they can meet:
 one edit leaves two thirds of a line as they were, so different lines are first brought together by a digest of all but
@@ -58,7 +58,7 @@ def frame_keys(code: bytes) -> Iterator[tuple[int, int, int]]:
             yield signed(frame, PARTS * shorter + part), begin, n - rest
 
 
-def lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+def lines(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """The lines that take part: place, span in the original text, digest and frame keys; a null text has none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def near_witnesses(docs: DataFrame, firsts: DataFrame, staging: Staging) -> Data
     return named.join(place.withColumnRenamed("first", "_witness"), "line").select("first", F.col("_witness").alias("witness"))
 
 
-def matching_lines(docs: DataFrame, staging: Staging, min_chars: int = 16) -> DataFrame:
+def matching_lines(docs: DataFrame, staging: Staging, min_chars: int = 1) -> DataFrame:
     """One row per line that goes: PLACE, its span (start, length), kept_doc_id, kept_unit and edits (0 or 1).
 
     ``kept`` is the earliest equal line, or for the earliest of equal lines the earliest line one edit away. Rows of
@@ -193,6 +193,6 @@ def matching_lines(docs: DataFrame, staging: Staging, min_chars: int = 16) -> Da
     ).distinct()
 
 
-def remove_lines(docs: DataFrame, staging: Staging, min_chars: int = 16) -> DataFrame:
+def remove_lines(docs: DataFrame, staging: Staging, min_chars: int = 1) -> DataFrame:
     """``docs`` without matching lines; documents themselves all stay, also those that end up empty."""
     return without_spans(docs, matching_lines(docs, staging, min_chars))
