@@ -123,6 +123,13 @@ def usable(vectors: DataFrame, name: str = "vec_id", column: str = "embedding")
     )
 
 
+def one_per_id(vectors: DataFrame) -> DataFrame:
+    """One row per id, of repeated ones the smallest vector; only vectors of the most frequent length (ties: the longer)."""
+    size = F.size("vector")
+    common = vectors.groupBy(size.alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    return vectors.where(size == F.lit(common["size"] if common else 0)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     plain = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return plain.flatten().to_numpy(zero_copy_only=False).reshape(len(plain), -1)
@@ -166,11 +173,16 @@ def search(
 ) -> DataFrame:
     """The k nearest of each query among ``vectors``: query_id, rank, vec_id, score (inner product of doubles).
 
-    ``vectors`` and ``queries`` come from ``usable``, all of one length and ids unique; a query is not its own
-    neighbour. The tree is fitted on at most ``sample_rows`` vectors, the leaf visits on at most
+    ``vectors`` and ``queries`` come from ``usable``. Repeated ids count once and vectors of another than the most
+    frequent length take no part (``one_per_id``); a query is not its own neighbour. The tree is fitted on at most ``sample_rows`` vectors, the leaf visits on at most
     ``calibration_queries`` queries; both are taken by a hash of the id. No vectors or no queries give no rows.
     """
     spark = vectors.sparkSession
+    vectors = staging.put(one_per_id(vectors), "vectors")
+    size = F.size("vector")
+    asked_size = vectors.select(size.alias("size")).first()
+    queries = queries.where(size == F.lit(asked_size["size"] if asked_size else 0))
+    queries = staging.put(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     total, longest = vectors.agg(F.count("*"), F.max(length)).first()
     if not total:
