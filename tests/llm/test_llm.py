@@ -1,5 +1,6 @@
 """Text operators against brute force on small fixtures, with odd rows in every table."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -74,6 +75,23 @@ def test_packing(spark, staging):
     sizes = np.array([r.length for r in facts.collect()])
     assert packing.lower_bound(sizes, 64) <= made <= packing.lower_bound(sizes, 64) + 3
     assert all(r.bound <= r.sequences for r in certificates.collect())
+    assert all(0 < r.group_bound <= r.group_sequences for r in packed.collect())
+
+
+def test_packing_goes_on_until_no_round_saves_a_sequence(spark, staging):
+    rng = np.random.default_rng(3)
+    pieces = spark.createDataFrame([(n, int(size), "x") for n, size in enumerate(rng.integers(200, 700, 600))], "doc_id long, length long, offset string")
+    packed, certificates = packing.pack(pieces, staging, 1000, per_group=30)
+    rounds = Counter()
+    for r in certificates.collect():
+        rounds[r.round] += r.sequences
+    assert packed.count() == 600 and max(rounds) >= 2
+    rows = packed.collect()
+    made = {r.sequence_id: r for r in rows}
+    loads = Counter()
+    for r in rows:
+        loads[r.sequence_id] += r.length
+    assert max(loads.values()) <= 1000 and len(made) >= packing.lower_bound(np.array([r.length for r in rows]), 1000)
 
 
 def test_packing_of_nothing(spark, staging):
@@ -170,7 +188,7 @@ def test_simhash_query(spark):
     assert sorted(map(tuple, llm_queries()["op3_simhash_near_dedup"](spark, SMALL).collect())) == expected
 
 
-@pytest.mark.parametrize("largest_run", [100_000, 20])
+@pytest.mark.parametrize("largest_run", [100_000, 20, 1])
 def test_linked_fingerprints(spark, staging, largest_run):
     """A dense cloud of fingerprints, also with its keys counted as oversized."""
     rng = np.random.default_rng(5)
@@ -244,33 +262,69 @@ def test_hosts_of_the_given_tables_differ_by_chance_only(spark, staging):
     assert len(verdicts) == 20 and not any(any(row[1:]) for row in verdicts)
 
 
-def plain_units(texts, end, normal, least, measure):
-    for doc_id, text in texts:
-        for number, (start, stop) in enumerate(substring.spans(text or "", end)):
-            plain = normal(text[start:stop])
-            if measure(plain) >= least:
-                yield (doc_id is None, doc_id or 0, xxhash.xxh64_intdigest(text.encode(), 42) + (1 << 63)) , number, plain, start, stop
+def plain_lines(texts):
+    """(rank of the document, its id, start, line) of every line, in rank order; equal rows are one document."""
+    for doc_id, text in sorted(set(texts), key=lambda one: plain_rank(*one)):
+        at = 0
+        for line in (text or "").split("\n"):
+            yield plain_rank(doc_id, text), doc_id, at, line
+            at += len(line) + 1
+
+
+def plain_rank(doc_id, text):
+    own = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return doc_id is None, doc_id or 0, own - (1 << 64) if own >> 63 else own
+
 
+def words_of(text):
+    return tuple(re.findall(r"[^\W_]+", text.lower()))
 
-def ordered(texts, *args):
-    """Units in rank order: a signed text hash compares as the unsigned one moved by half its range."""
-    units = {((a, b, h % (1 << 64)), n): (p, s, e) for (a, b, h), n, p, s, e in plain_units(texts, *args)}
-    return sorted(units.items())
+
+def plain_line_units(texts):
+    """(doc_id, start, length, words) of lines and of their sentences of six words or more, in rank order."""
+    for _, doc_id, at, line in plain_lines(texts):
+        if not words_of(line):
+            continue
+        yield doc_id, at, len(line), words_of(line)
+        for found in re.finditer(r"(?:[^.!?]|[.!?](?![.!?]*[ \t\x0b-\r]))+[.!?]*", line):
+            sentence = found.group()
+            begin = found.start() + len(sentence) - len(sentence.lstrip(" \t\x0b\x0c\r"))
+            if len(words_of(sentence)) >= 6 and words_of(sentence) != words_of(line):
+                yield doc_id, at + begin, len(sentence.strip(" \t\x0b\x0c\r")), words_of(sentence)
+
+
+SUBSTRINGS = TEXTS + [
+    (20, "Yes.\nThe passage of seven words stands here. And more of it follows after that one! Yes."),
+    (21, "Before it, something. The passage of SEVEN words, stands here. Behind it, another thing altogether.\nYes"),
+    (22, "the passage of seven words stands here\n\n...\n..."),
+]
 
 
 def test_substring(spark, staging):
-    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()] + TEXTS
-    seen, expected = {}, []
-    for (doc, number), (plain, start, stop) in ordered(texts, substring.SENTENCE_END, substring.normalised, 6, lambda p: p.count(" ") + 1):
-        if plain in seen:
-            expected.append((doc[1] if not doc[0] else None, number, start, stop - start, *seen[plain]))
-        seen.setdefault(plain, (doc[1] if not doc[0] else None, number))
-    found = substring.repeated(staging.put(substring.units(table(spark, texts)), "units")).drop("text_hash")
-    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()] + SUBSTRINGS
+    seen, expected = {}, set()
+    for doc_id, start, length, words in plain_line_units(texts):
+        if words in seen:
+            expected.add((doc_id, start, length, seen[words]))
+        seen.setdefault(words, doc_id)
+    rows = substring.repeated(staging.put(substring.units(table(spark, texts)), "units")).collect()
+    assert {(r.doc_id, r.start, r.length, r.kept_doc_id) for r in rows} == expected
     left = substring.remove_repeats(table(spark, texts), staging).collect()
     assert len(left) == len(texts) and left[0].__fields__ == table(spark).columns
     kept = {r.doc_id: r.text for r in left}
-    assert kept[1] == LONG and kept[2].strip() == "" and kept[4] is None
+    assert kept[1] == LONG and kept[2].strip() == "" and kept[4] is None and kept[22] == "\n...\n..."
+    assert kept[21] == "Before it, something. Behind it, another thing altogether."
+
+
+def test_substring_query(spark):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    seen, expected = {}, set()
+    for doc_id, start, length, words in plain_line_units(texts):
+        if words in seen:
+            expected.add((doc_id, start, length, seen[words]))
+        seen.setdefault(words, doc_id)
+    rows = llm_queries()["op2_substring_dedup"](spark, SMALL).collect()
+    assert {(r.doc_id, r.start, r.length, r.kept_doc_id) for r in rows} == expected
 
 
 def within_one(a, b):
@@ -287,13 +341,20 @@ def test_line_dedup(spark, staging):
     line = "this line is long enough to be compared"
     odd = [line, line + "s", line[1:], line[:9] + "X" + line[10:], line[:9] + "Y" + line[10:], line[:5] + line[6:], line + "st"]
     texts += [(1000 + at, one + "\n" + one.upper()) for at, one in enumerate(odd)] + TEXTS
-    units = ordered(texts, substring.LINE_END, line_dedup.normalised, 16, len)
-    expected = set()
-    for at, ((doc, number), (plain, start, stop)) in enumerate(units):
-        if any(within_one(plain, other) for _, (other, _, _) in units[:at]):
-            expected.add((None if doc[0] else doc[1], number, start, stop - start))
+    texts += [(2000, "a\nab\nb\n \nba\nabc"), (2001, "xyz\nx\n日本")]
+    # By rank: what went before, by its normal form and by the forms with one character less, to find all partners.
+    before, expected = [], {}
+    for _, doc_id, at, line in plain_lines(texts):
+        plain = " ".join(line.lower().split())
+        if not plain:
+            continue
+        equal = next((kept for other, kept in before if other == plain), None)
+        near = next((kept for other, kept in before if within_one(plain, other)), None)
+        if equal or near:
+            expected[doc_id, at, len(line)] = (*(equal or near), 0 if equal else 1)
+        before.append((plain, (doc_id,)))
     rows = line_dedup.matching_lines(table(spark, texts), staging).collect()
-    assert {(r.doc_id, r.unit, r.start, r.length) for r in rows} == expected
+    assert {(r.doc_id, r.start, r.length): (r.kept_doc_id, r.edits) for r in rows} == expected
     assert {r.edits for r in rows} == {0, 1}
     assert line_dedup.matching_lines(table(spark, []), staging).collect() == []
 
@@ -521,6 +582,11 @@ def test_tree_search_odd_vectors(spark, staging):
     vectors = kmeans_tree.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = kmeans_tree.search(vectors, vectors.where("vec_id % 20 = 0"), staging, k=3).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 3, 2.0)]
+    # Repeated ids, also with another vector, count once; the length that most vectors have is the one searched.
+    again = [(0, [1.0, 0.0]), (0, [1.0, 1.0]), (3, [2.0, 1.0]), (8, [9.0]), (20, [1.0, 2.0, 3.0])]
+    twice = kmeans_tree.usable(spark.createDataFrame(rows + again, "vec_id long, embedding array<float>"))
+    got = kmeans_tree.search(twice, twice.where("vec_id % 20 = 0"), staging, k=3).collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 3, 2.0)]
     empty = vectors.where("false")
     assert kmeans_tree.search(empty, empty, staging).collect() == []
 
