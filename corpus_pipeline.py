@@ -55,7 +55,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without sentences that stand in an earlier place."""
+    """All documents, without lines and sentences that stand in an earlier place."""
     return substring.remove_repeats(docs, _staging(spark, docs))
 
 
