@@ -414,6 +414,24 @@ def test_katz(spark, staging):
     assert sum(p(w, "w0") for w in counts) + weight * unseen == pytest.approx(1)
 
 
+def test_katz_spread_contexts(spark, staging):
+    """The begin of documents and a word of more than 1,000 tokens are spread: their weights need the sums of all buckets."""
+    texts = [f"a{n % 31} the b{n % 47} the c{n % 13}" for n in range(700)]
+    held = {700: "never the never", 701: "the a1", 702: "c1 never"}
+    rows = [(n, t, False) for n, t in enumerate(texts)] + [(n, t, True) for n, t in held.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    scored = {r.doc_id: r.score for r in katz.score(docs.repartition(1), staging, buckets=7)[0].collect()}
+    counts, pairs, histories = Counter(), Counter(), Counter()
+    for text in texts:
+        words = [*text.split(), "\n"]
+        counts.update(words)
+        pairs.update(zip(["", *words], words))
+        histories.update(["", *words[:-1]])
+    level = lambda c: katz.Level(sum(c.values()), len(c), [sum(v == r for v in c.values()) for r in range(1, 7)])
+    for n, text in held.items():
+        assert scored[n] == pytest.approx(plain_katz(texts, text, level(counts), level(pairs), counts, pairs, histories)[0], abs=1e-9)
+
+
 def test_katz_of_nothing(spark, staging):
     empty = spark.createDataFrame([], "doc_id long, text string, held_out boolean")
     assert katz.score(empty, staging)[0].collect() == []
