@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from salesdw import staging as stages
 from salesdw.checks import fixtures, queries
-from salesdw.operators import rows
+from salesdw.operators import ordering, rows
+from salesdw.plans import clean
 from salesdw.sources import files, tables
 
 
@@ -76,3 +77,42 @@ def test_equal_rows(spark):
     few = spark.createDataFrame([(1, "a"), (2, None), (9, "z")], df.schema)
     assert rows_of(rows.equal_rows(df, few)) == [(1, "a"), (1, "a"), (2, None)]
     assert few.exceptAll(rows.equal_rows(df, few)).collect() == few.exceptAll(df).collect()
+
+
+def test_cleaned_rows_move_without_names(spark, staging, few_tables, monkeypatch):
+    """Sorted rows are those of the plain cleaning in date order, with and without the names put in behind the shuffle."""
+    raw = fixtures.raw_sales(spark, few_tables)
+    expected = rows_of(clean.clean_sales(raw, staging, row_id=fixtures.ROW_ID))
+    moved = []
+    plain = clean.sort_for_write
+    monkeypatch.setattr(clean, "sort_for_write", lambda df, *given, **named: moved.append(df.columns) or plain(df, *given, **named))
+    late = staging.put(clean.sorted_sales(raw, staging, row_id=fixtures.ROW_ID), "late")
+    monkeypatch.setattr(clean, "fits_broadcast", lambda df: False)
+    early = clean.sorted_sales(raw, staging, row_id=fixtures.ROW_ID)
+    assert rows_of(late) == rows_of(early) == expected and expected
+    assert not {"sku", "category", "_sku", "_category", "fy", "grand_total"} & set(moved[0])
+    assert {"_sku", "_category"} <= set(moved[1])
+    for file in glob.glob(f"{staging.path}/*-late/*.parquet"):
+        days = [row[0] for row in spark.read.parquet(file).select("created_at").collect()]
+        assert days == sorted(days)
+
+
+def test_fill_shuffles_the_history_once(spark, staging):
+    """The written fills are what a second reader of the filled rows needs, not the history."""
+    df = spark.range(50).select("id", F.when(F.col("id") % 5 == 1, F.col("id")).alias("v"))
+    filled = ordering.forward_fill(df, "v", "id", staging=staging)
+    assert rows_of(filled) == sorted([(n, (n - 1) // 5 * 5 + 1 if n else None) for n in range(50)], key=repr)
+    assert "Window" not in filled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_file_sorts_order_keys_only(spark, few_tables, monkeypatch):
+    """Only keys are sorted over the whole table; ids count on without gaps from order to order."""
+    sorted_columns = []
+    plain = fixtures.sorted_row_ids
+    monkeypatch.setattr(fixtures, "sorted_row_ids", lambda df, *given: sorted_columns.append(df.columns) or plain(df, *given))
+    fixtures._files.clear()
+    ids = sorted({row[0] for row in fixtures.messy_sales(spark, few_tables).select(fixtures.ROW_ID).collect()})
+    assert sorted_columns == [["l_orderkey", "_lines"]]
+    lines = fixtures.read_table(spark, few_tables, "lineitem").where("l_orderkey is not null").select("l_orderkey").collect()
+    met = sorted(row[0] for row in lines)
+    assert ids == [place + 1 for place, key in enumerate(met) if key < 8 and key != 0]
