@@ -29,7 +29,7 @@ from salesdw.schema import (
     WINDOW_TABLE,
 )
 from salesdw.sources.tables import overwrite_table
-from salesdw.staging import Staging, make_folder, side_by_side
+from salesdw.staging import FULL_ROWS, Staging, make_folder, side_by_side
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,7 @@ class SalesWarehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
         for table, schema in TABLES.items():
             columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
-            parted = f", {BATCH_COLUMN} bigint) USING PARQUET PARTITIONED BY ({BATCH_COLUMN})"
+            parted = f", {BATCH_COLUMN} bigint) USING PARQUET OPTIONS (compression '{FULL_ROWS}') PARTITIONED BY ({BATCH_COLUMN})"
             end = parted if table == FACT_TABLE else ") USING PARQUET"
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}{end}")
         rejects = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in REJECTS)
@@ -157,7 +157,7 @@ class SalesWarehouse:
         """One write with two outputs: its folder of fitting rows is the batch's partition of the fact table, the other
         one that of the rejects."""
         path = f"{self.root}/loads/{batch}-{uuid.uuid4().hex}"
-        rows.write.partitionBy("rejected").parquet(path)
+        rows.write.partitionBy("rejected").parquet(path, compression=FULL_ROWS)
         for table, rejected in ((FACT_TABLE, "false"), (REJECTS_TABLE, "true")):
             folder = f"{path}/rejected={rejected}"
             make_folder(self.spark, folder)  # without such rows there is none
