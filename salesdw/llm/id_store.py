@@ -20,7 +20,16 @@ from pyspark.sql import functions as F
 from salesdw.llm.common import shared_chunk_ids
 
 END_ID = 1
-CELL = np.uint64(0x9E3779B97F4A7C15)  # multiplies a pair; the upper 20 bits are its cell
+# Multiply the parts of a pair; the upper bits of the sum are its cell.
+CELL_LEFT, CELL_RIGHT, CELL_BITS = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), 18
+
+
+def cells(lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+    return ((lefts * CELL_LEFT + rights * CELL_RIGHT) >> np.uint32(32 - CELL_BITS)).astype(np.int64)
+
+
+def joined(lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+    return lefts.astype(np.uint64) << np.uint64(32) | rights
 SHARD_SCHEMA = (
     "part int, shard int, first_symbol long, least int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
     "rules binary, rule_tokens binary, symbols binary"
@@ -29,13 +38,13 @@ SHARD_SCHEMA = (
 
 def compress(ids: np.ndarray, first_symbol: int, pairs_a_round: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The remaining symbols, and the rules: rule n makes symbol ``first_symbol + n`` from two earlier ones."""
-    symbols, rules = ids.astype(np.uint64), np.zeros((0, 2), np.uint64)
+    symbols, rules = ids.astype(np.uint32), np.zeros((0, 2), np.uint64)
     while len(symbols) > 1:
-        pairs = symbols[:-1] << np.uint64(32) | symbols[1:]
         # Only pairs whose cell of a hash table is full enough can be frequent; the others need no exact count.
-        cell = ((pairs * CELL) >> np.uint64(44)).view(np.int64)
-        full = np.bincount(cell, minlength=1 << 20) >= least
-        found, times = np.unique(pairs[full[cell]], return_counts=True)
+        cell = cells(symbols[:-1], symbols[1:])
+        full = np.bincount(cell, minlength=1 << CELL_BITS) >= least
+        near = np.flatnonzero(full[cell])
+        found, times = np.unique(joined(symbols[near], symbols[near + 1]), return_counts=True)
         often = np.flatnonzero((times >= least) & (found >> np.uint64(32) != found & np.uint64(0xFFFFFFFF)))
         often = often[np.argsort(-times[often], kind="stable")]
         lefts, rights, chosen = set(), set(), []
@@ -51,14 +60,17 @@ def compress(ids: np.ndarray, first_symbol: int, pairs_a_round: int, least: int)
         if not chosen:
             break
         ordered = np.sort(np.array(chosen, np.uint64))
-        taken = np.zeros(1 << 20, bool)
-        taken[((ordered * CELL) >> np.uint64(44)).view(np.int64)] = True
-        hits = np.flatnonzero(taken[cell])
-        place = np.minimum(np.searchsorted(ordered, pairs[hits]), len(ordered) - 1)
-        same = ordered[place] == pairs[hits]
+        taken = np.zeros(1 << CELL_BITS, bool)
+        taken[cells((ordered >> np.uint64(32)).astype(np.uint32), ordered.astype(np.uint32))] = True
+        hits = near[taken[cell[near]]]
+        pairs = joined(symbols[hits], symbols[hits + 1])
+        place = np.minimum(np.searchsorted(ordered, pairs), len(ordered) - 1)
+        same = ordered[place] == pairs
         hits = hits[same]
-        symbols[hits] = np.uint64(first_symbol + len(rules)) + place[same].astype(np.uint64)
-        symbols = np.delete(symbols, hits + 1)
+        symbols[hits] = (first_symbol + len(rules) + place[same]).astype(np.uint32)
+        kept = np.ones(len(symbols), bool)
+        kept[hits + 1] = False
+        symbols = symbols[kept]
         made = np.stack([ordered >> np.uint64(32), ordered & np.uint64(0xFFFFFFFF)], axis=1)
         rules = np.concatenate([rules, made])
     return symbols.astype("<u4"), rules.astype("<u4")
@@ -90,21 +102,38 @@ class ShardReader:
         self.first = shard["first_symbol"]
         self.rules = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2)
         self.symbols = np.frombuffer(shard["symbols"], "<u4")
-        known = np.frombuffer(shard["rule_tokens"], "<u4")
+        known = np.frombuffer(shard["rule_tokens"], "<u4").astype(np.int64)
         self.each = np.ones(len(self.symbols), np.int64)
         made = self.symbols >= self.first
         self.each[made] = known[self.symbols[made] - self.first]
         self.ends = np.cumsum(self.each)
+        # Every rule's ids once, end to end, for all ranges that meet it.
+        numbers = np.arange(self.first, self.first + len(self.rules), dtype=np.uint32)
+        self.spelled = expand(numbers, self.rules, self.first)
+        self.spelled_at = np.cumsum(known) - known
 
     def read(self, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        """The ids ``start`` to ``start + length`` of each range, expanding only the symbols that cover them."""
+        """The ids ``start`` to ``start + length`` of each range, expanding only the symbols that cover them.
+
+        The covering symbols of all ranges are laid end to end and copied from their rules' ids together.
+        """
         low = np.searchsorted(self.ends, starts, "right")
-        high = np.searchsorted(self.ends, starts + lengths, "left") + 1
-        found = []
-        for start, length, a, b in zip(starts.tolist(), lengths.tolist(), low.tolist(), high.tolist()):
-            skipped = start - int(self.ends[a] - self.each[a]) if a < len(self.ends) else 0
-            found.append(expand(self.symbols[a:b], self.rules, self.first)[skipped : skipped + length])
-        return found
+        high = np.minimum(np.searchsorted(self.ends, starts + lengths, "left") + 1, len(self.symbols))
+        count = np.maximum(high - low, 0)
+        covering = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        symbols, each = self.symbols[covering], self.each[covering]
+        ends = np.cumsum(each)
+        ids = np.repeat(symbols, each)
+        made = symbols >= self.first
+        wide, size = symbols[made] - self.first, each[made]
+        own = np.cumsum(size) - size
+        inside = np.arange(int(size.sum())) - np.repeat(own, size)
+        ids[np.repeat((ends - each)[made], size) + inside] = self.spelled[np.repeat(self.spelled_at[wide], size) + inside]
+        # Where each range's symbols begin among the laid out ids, and what is skipped of the first one.
+        edges = np.concatenate([[0], ends])[np.cumsum(count) - count]
+        before = np.concatenate([[0], self.ends])[np.minimum(low, len(self.symbols))]
+        begin = edges + np.where(count > 0, starts - before, 0)
+        return [ids[a:b] for a, b in zip(begin.tolist(), (begin + np.where(count > 0, lengths, 0)).tolist())]
 
 
 def encode_shards(

@@ -628,3 +628,19 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.collect() == []
+
+
+def test_shard_ranges_are_read_without_expanding_each(monkeypatch):
+    """All ranges of a shard, empty ones and those at its end too, from one expansion of its rules."""
+    ids = np.tile(np.array([5, 6, 7, 8, 5, 6], "<u4"), 200)
+    symbols, rules = id_store.compress(ids, 10, 4, 2)
+    shard = {
+        "first_symbol": 10, "rules": rules.tobytes(), "symbols": symbols.tobytes(),
+        "rule_tokens": id_store.expansion_lengths(rules, 10).astype("<u4").tobytes(),
+    }
+    calls, plain = [], id_store.expand
+    monkeypatch.setattr(id_store, "expand", lambda *given: calls.append(1) or plain(*given))
+    starts, lengths = np.array([0, 3, 700, 700, 1199, 1200, 0]), np.array([1, 50, 0, 500, 1, 0, 1200])
+    read = id_store.ShardReader(shard).read(starts, lengths)
+    assert [one.tolist() for one in read] == [ids[a : a + n].tolist() for a, n in zip(starts, lengths)]
+    assert len(calls) == 1
