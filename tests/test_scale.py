@@ -116,3 +116,12 @@ def test_raw_file_sorts_order_keys_only(spark, few_tables, monkeypatch):
     lines = fixtures.read_table(spark, few_tables, "lineitem").where("l_orderkey is not null").select("l_orderkey").collect()
     met = sorted(row[0] for row in lines)
     assert ids == [place + 1 for place, key in enumerate(met) if key < 8 and key != 0]
+
+
+def test_facts_and_rejects_are_stored_small(spark, few_tables):
+    """Staged rows and facts of a batch are written in the codec of full rows."""
+    house = queries.warehouse(spark, queries.WHOLE)
+    house.run_batch(queries.cleaned_sales(spark, few_tables))
+    written = [path for table in ("fact", "stag") for path in glob.glob(f"{house.root.removeprefix('file:')}/*{table}*/**/*.parquet", recursive=True)]
+    assert len({path.split("/")[-2] for path in written}) == 2
+    assert all(".zstd." in path for path in written)
