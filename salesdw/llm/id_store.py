@@ -181,9 +181,9 @@ def encode_shards(
             return pa.RecordBatch.from_pylist([row], schema=layout)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), known.of_texts(batch.column(1))):
                 names.append(doc_id)
-                encoded.append(known.of_text(text) + end)
+                encoded.append(ids + end)
                 size += len(encoded[-1]) // 4
                 if size >= shard_tokens:
                     yield flush()
