@@ -126,3 +126,15 @@ def test_broadcast_sides_keep_to_one_bound(spark):
 def test_size_is_measured(spark):
     df = table(spark, [("x" * 1000,)] * 10, "s string")
     assert joins.fits_broadcast(df, 10_160) and not joins.fits_broadcast(df, 10_159)
+
+
+def test_sides_that_multiply_rows_are_joined_behind_all_others(spark):
+    """Also behind larger ones that are beyond the bound; null keys, which match nothing, do not count."""
+    several = spark.createDataFrame([(k % 3, k) for k in range(12)], "_key int, v int")
+    twice = spark.createDataFrame([(k % 10, k) for k in range(20)], "_key int, v int")
+    once = spark.createDataFrame([(k, k) for k in range(40)], "_key int, v int")
+    nulls = spark.createDataFrame([(None, k) for k in range(60)], "_key int, v int")
+    sides = [several, twice, once, nulls, once.limit(0)]
+    assert [place for place, _ in joins.broadcast_together(sides)] == [4, 0, 1, 2, 3]
+    for bound in (joins.BROADCAST_BYTES, 1000):
+        assert [place for place, _ in joins.broadcast_together(sides, bound, key="_key")] == [4, 2, 3, 1, 0]
