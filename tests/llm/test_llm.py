@@ -1,6 +1,7 @@
 """Text operators against brute force on small fixtures, with odd rows in every table."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,6 +18,7 @@ from salesdw.llm import host_rules, id_store, katz, kmeans_tree, line_dedup, pac
 from salesdw.llm.common import PIECE_TOKENIZER, WORD_TOKENIZER, tokenizer_path
 from salesdw.llm.oracle import llm_sql
 from salesdw.llm.queries import llm_queries
+from salesdw.staging import FILE_CLEANUP
 
 PLAIN = Tokenizer.from_file(tokenizer_path(WORD_TOKENIZER))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, text_hash string, fingerprint int"
@@ -432,6 +434,39 @@ def test_katz_spread_contexts(spark, staging):
         assert scored[n] == pytest.approx(plain_katz(texts, text, level(counts), level(pairs), counts, pairs, histories)[0], abs=1e-9)
 
 
+def test_katz_block_holds_few_arrays_of_its_tokens():
+    rng = np.random.default_rng(5)
+    tokens, lengths = rng.integers(0, 5000, 400_000), np.full(1000, 400)
+    row = {"lengths": katz.squeezed(lengths), "words": np.arange(5000, dtype=np.uint64).tobytes(), "tokens": katz.squeezed(tokens)}
+    row["held_out"] = (np.arange(1000) % 10 == 0).tolist()
+    tracemalloc.start()
+    joined, place, counts = katz.Block(row).pairs()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    context = np.concatenate([[5000], tokens[:-1]])
+    context[::400] = 5000
+    expected, where = np.unique(context << 32 | tokens, return_inverse=True)
+    assert (joined == expected).all() and (place == where).all()
+    assert (counts == np.bincount(where, weights=np.repeat(np.arange(1000) % 10 != 0, 400))).all()
+    assert peak < 48 * len(tokens)
+
+
+def test_tidy_write_removes_its_shuffle_files(spark, staging):
+    seen = []
+
+    class Write:
+        def parquet(self, path, compression=None):
+            seen.append(spark.conf.get(FILE_CLEANUP))
+            spark.range(1).write.parquet(path)
+
+    class Frame:
+        schema, write = "id bigint", Write()
+
+    before = spark.conf.get(FILE_CLEANUP)
+    assert staging.put(Frame(), "tidy", tidy=True).count() == staging.put(Frame(), "plain").count() == 1
+    assert seen == ["true", before] and spark.conf.get(FILE_CLEANUP) == before
+
+
 def test_katz_of_nothing(spark, staging):
     empty = spark.createDataFrame([], "doc_id long, text string, held_out boolean")
     assert katz.score(empty, staging)[0].collect() == []
