@@ -13,6 +13,8 @@ from salesdw.llm.common import WORD_TOKENIZER, tokenizer_path
 from salesdw.llm.queries import SEQUENCE_IDS
 from salesdw.staging import Staging
 
+KEPT_CHUNKS = 100_000
+
 # Fingerprints, sampled choices and packing are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
@@ -62,7 +64,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
     staging = _staging(spark, docs)
-    cut = packing.cut_documents(docs, tokenizer_path(WORD_TOKENIZER), SEQUENCE_IDS)
+    # The other stages run in the same Python workers, beside what these keep.
+    cut = packing.cut_documents(docs, tokenizer_path(WORD_TOKENIZER), SEQUENCE_IDS, chunks=KEPT_CHUNKS)
     facts = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(staging.put(facts, "pieces"), staging, SEQUENCE_IDS)[0]
 

@@ -20,23 +20,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesdw.llm.common import shared_chunk_ids
+from salesdw.llm.common import shared_chunk_ids, slices
 from salesdw.staging import Staging
 
 END_ID = 0
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = END_ID) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = END_ID, chunks: int = 550_000) -> DataFrame:
     """Ids of each document and its end, cut where they exceed ``capacity``.
 
     One row per piece: doc_id, piece, start (ids before it), length and ids (little-endian unsigned 32-bit).
-    A null or empty text has the end id alone. Rows that repeat a doc_id are documents of their own.
+    A null or empty text has the end id alone. Rows that repeat a doc_id are documents of their own. A Python worker
+    keeps the ids of some ``chunks`` chunks of text, also while it waits for other work.
     """
     width = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = shared_chunk_ids(tokenizer), np.uint32(end_id).tobytes()
-        for batch in batches:
+        known, end = shared_chunk_ids(tokenizer, chunks), np.uint32(end_id).tobytes()
+        for batch in (part for whole in batches for part in slices(whole)):
             names, numbers, parts = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = known.of_text(text) + end

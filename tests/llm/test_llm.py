@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from conftest import SMALL
 from salesdw.checks.compare import connect, differences
-from salesdw.llm import host_rules, id_store, katz, kmeans_tree, line_dedup, packing, piece_sampling, simhash, substring, toxicity
+from salesdw.llm import common, host_rules, id_store, katz, kmeans_tree, line_dedup, packing, piece_sampling, simhash, substring, toxicity
 from salesdw.llm.common import PIECE_TOKENIZER, WORD_TOKENIZER, tokenizer_path
 from salesdw.llm.oracle import llm_sql
 from salesdw.llm.queries import llm_queries
@@ -96,6 +96,18 @@ def test_packing_goes_on_until_no_round_saves_a_sequence(spark, staging):
     assert max(loads.values()) <= 1000 and len(made) >= packing.lower_bound(np.array([r.length for r in rows]), 1000)
 
 
+def test_packing_with_few_chunks_kept(spark, staging):
+    path = tokenizer_path(WORD_TOKENIZER)
+    known = common.shared_chunk_ids(path, 50)
+    texts = [" ".join(f"{word}{number}" for number in range(start, start + 90)) for start in (0, 40, 300) for word in ("ab", "Übung")]
+    assert [known.of_text(text) for text in texts] == [common.ChunkIds(path).of_text(text) for text in texts]
+    assert len(known) <= 50 and len(known.older) <= 50
+    docs = table(spark, [(number, text) for number, text in enumerate(texts)])
+    few = packing.cut_documents(docs, path, 128, chunks=50).collect()
+    assert sorted(few) == sorted(packing.cut_documents(docs, path, 128).collect())
+    assert corpus_pipeline.KEPT_CHUNKS <= 100_000
+
+
 def test_packing_of_nothing(spark, staging):
     packed, _ = packing.pack(spark.createDataFrame([], "doc_id long, length long"), staging, 64)
     assert packed.collect() == []
