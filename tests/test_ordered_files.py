@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from salesdw.checks import fixtures, queries
 from salesdw.operators import ordering
+from salesdw.sources import files
 from test_scale import few_tables  # noqa: F401
 
 
@@ -58,6 +59,15 @@ def test_ordered_files_move_no_row(spark, few_tables, tmp_path):  # noqa: F811
     assert len(raw) == lines.count() + lines.where("src_order % 101 = 0").count() + 10
 
 
+def test_text_files_are_small_and_can_be_split(spark, few_tables, monkeypatch):  # noqa: F811
+    seen = []
+    stored = files.stored_bytes
+    monkeypatch.setattr(files, "stored_bytes", lambda spark, path: seen.extend(glob.glob(f"{path}/**/*.csv*", recursive=True)) or stored(spark, path))
+    found = queries.clean_sales_csv_order(spark, few_tables)
+    assert len(seen) > 3 and all(name.endswith(".csv.bz2") for name in seen)
+    assert rows_of(found) == rows_of(queries.clean_sales(spark, few_tables))
+
+
 def test_scan_order_moves_no_full_row(spark, few_tables, monkeypatch):  # noqa: F811
     written = []
     plain = fixtures.write_in_order
