@@ -19,26 +19,33 @@ def test_range_of(spark):
 
 
 def test_each_raw_file_holds_one_range(spark, few_tables):  # noqa: F811
-    """Also with a part that stands twice, whose lines share their ids, and a line whose part is missing."""
+    """Also with a part that stands twice, whose copies of a line share its id, a line whose part is missing, and an order
+    whose lines stand twice, each with an id of its own."""
     parts = spark.read.parquet(f"{few_tables}/part.parquet")
     own = parts.where("p_partkey != 4").unionByName(parts.where("p_partkey = 2").withColumn("p_name", F.lit("other")))
     own.write.parquet(f"{few_tables}/twice")
     spark.read.parquet(f"{few_tables}/twice").write.mode("overwrite").parquet(f"{few_tables}/part.parquet")
+    lines = spark.read.parquet(f"{few_tables}/lineitem.parquet")
+    lines.unionByName(lines.where("l_orderkey = 2")).write.parquet(f"{few_tables}/more")
+    spark.read.parquet(f"{few_tables}/more").write.mode("overwrite").parquet(f"{few_tables}/lineitem.parquet")
     fixtures._files.clear()
     messy = fixtures.messy_sales(spark, few_tables)
     sources = {name: fixtures.read_table(spark, few_tables, name) for name in fixtures.SOURCES}
     assert rows_of(messy.drop(fixtures.ROW_ID)) == rows_of(spark.sql(fixtures.MESSY_SQL, **sources))
     spans = []
     for path in {row[0] for row in messy.select("_metadata.file_path").collect()}:
-        ids = [row[0] for row in spark.read.parquet(path).select(fixtures.ROW_ID).collect()]
-        assert ids == sorted(ids)
-        spans.append((ids[0], ids[-1]))
+        file = spark.read.parquet(path)
+        keys = [tuple(row) for row in file.select(*fixtures.ORDER).collect()]
+        assert keys == sorted(keys)
+        ids = [row[0] for row in file.select(fixtures.ROW_ID).collect()]
+        spans.append((min(ids), max(ids)))
     spans.sort()
     assert len(spans) > 3 and all(left[1] < right[0] for left, right in zip(spans, spans[1:]))
     ordered = [tuple(row) for row in messy.orderBy(fixtures.ROW_ID).select(*fixtures.ORDER).collect()]
     assert ordered == sorted(ordered)
-    single = messy.where("src_order != 5 AND src_part != 2").select(fixtures.ROW_ID)
-    assert single.distinct().count() == single.count()
+    shared = messy.where("src_order != 5").groupBy(fixtures.ROW_ID, "src_part").count().select("src_part", "count").distinct()
+    assert rows_of(shared) == [(part, 2 if part == 2 else 1) for part in range(4)]
+    assert messy.where("src_order = 2 AND src_part = 2").count() >= 4
 
 
 def test_ordered_files_move_no_row(spark, few_tables, tmp_path):  # noqa: F811
